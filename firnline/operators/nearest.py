@@ -67,7 +67,7 @@ def _by_array(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
         places.withColumns(
             {"__lon": F.radians("Longitude"), "__lat": F.radians("latitude"), "__all": packed}
         )
-        .withColumn("stations", F.slice(F.array_sort(F.transform("__all", by_distance)), 1, k))
+        .withColumn("stations", F.slice(F.sort_array(F.transform("__all", by_distance)), 1, k))
         .drop("__lon", "__lat", "__all")
     )
 
