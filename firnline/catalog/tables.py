@@ -71,9 +71,9 @@ class Tables:
 
     @staticmethod
     def _place() -> tuple[Column, Column]:
-        """What the coordinates of an order are made from: one of 300 places, some exactly on a
+        """What the coordinates of an order are made from: five customers share a place, some places lie exactly on a
         station."""
-        place = F.col("o_custkey") % 300
+        place = F.floor(F.col("o_custkey") / 5)
         on_station = place % 25 == 0
         return (
             F.when(on_station, place % 10 * 7919).otherwise(place * 6007),

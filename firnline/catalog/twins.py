@@ -15,10 +15,10 @@ VIEWS["v_stations"] = """
 
 VIEWS["v_orders"] = """
   select *, o_orderkey as k,
-    -cast(102050 + (case when o_custkey % 300 % 25 = 0 then o_custkey % 300 % 10 * 7919
-      else o_custkey % 300 * 6007 end) % 6900 as double) / 1000 as lon,
-    cast(37050 + (case when o_custkey % 300 % 25 = 0 then o_custkey % 300 % 10 * 104729
-      else o_custkey % 300 * 3571 end) % 3900 as double) / 1000 as lat,
+    -cast(102050 + (case when o_custkey // 5 % 25 = 0 then o_custkey // 5 % 10 * 7919
+      else o_custkey // 5 * 6007 end) % 6900 as double) / 1000 as lon,
+    cast(37050 + (case when o_custkey // 5 % 25 = 0 then o_custkey // 5 % 10 * 104729
+      else o_custkey // 5 * 3571 end) % 3900 as double) / 1000 as lat,
     case cast(o_orderkey % 9 as int) when 0 then 'N' when 1 then 'NE' when 2 then 'E'
       when 3 then 'SE' when 4 then 'S' when 5 then 'SW' when 6 then 'W' when 7 then 'NW'
       end as aspect_code,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,14 +27,23 @@ def null_if_in(c: Column, tokens: list[str]) -> Column:
     return F.when(~c.isin(tokens), c)
 
 
+def cell(c: Column, placeholders: list[str] = fv.PLACEHOLDERS) -> Column:
+    """Stripped text, null for a placeholder: ``null_if_in`` of ``strip`` in one step.
+
+    The test reads the raw text, so the text is stripped once wherever Spark puts this expression.
+    """
+    space = f"[{_SPACES}]*"
+    words = "|".join(map(re.escape, placeholders))
+    return F.when(~c.rlike(f"^{space}(?:{words}){space}$"), strip(c))
+
+
 def to_number(c: Column) -> Column:
     """Text to double, null when it is no finite decimal number.
 
-    Java also reads ``12d``, ``0x1p3`` and ``Infinity``; all of those hold a letter that no
-    decimal number does.
+    Java also reads ``12d``, ``0x1p3``, ``NaN`` and ``Infinity``; each holds a letter other than
+    the exponent's.
     """
-    number = c.try_cast("double")
-    return F.when(~c.rlike("[dDfFxX]") & ~F.isnan(number), number)
+    return F.when(~c.rlike("[a-df-zA-DF-Z]"), strip(c).try_cast("double"))
 
 
 def destructive_size(c: Column) -> Column:

@@ -12,7 +12,7 @@ def to_time(c: Column, strict: bool = True) -> Column:
     if not strict:
         return parsed
     bad = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("timestamp_ntz")
-    return F.when(c.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+    return F.coalesce(parsed, F.when(c.isNotNull(), bad))
 
 
 def plus_days(ts: Column, days: Column) -> Column:

@@ -49,21 +49,21 @@ def clean_reports(raw: DataFrame, natural_only: bool = True) -> DataFrame:
         "Destructive Size", "Type", "Trigger",
     }
     extra = [c for c in raw.columns if c not in report_columns]
-    # Text without a number is null after this, so one filter on coordinates is enough.
-    located = coerce_numbers(
-        null_placeholders(trim_strings(raw)), ["Longitude", "latitude"]
-    ).dropna(subset=["Longitude", "latitude"])
+    # Coordinates become numbers first: most unusable rows go before any other text is touched.
+    located = coerce_numbers(raw, ["Longitude", "latitude"]).dropna(
+        subset=["Longitude", "latitude"]
+    )
     cleaned = located.select(
         *[quoted(c) for c in extra],
-        quoted("Observation ID"),
-        to_time(F.col("Date")).alias("Date"),
+        text.cell(quoted("Observation ID")).alias("Observation ID"),
+        to_time(text.cell(F.col("Date"))).alias("Date"),
         "Longitude",
         "latitude",
-        "Aspect",
-        "Area",
+        text.cell(F.col("Aspect")).alias("Aspect"),
+        text.cell(F.col("Area")).alias("Area"),
         text.destructive_size(quoted("Destructive Size")).alias("avalanche_size"),
-        "Type",
-        "Trigger",
+        text.cell(F.col("Type")).alias("Type"),
+        text.cell(F.col("Trigger")).alias("Trigger"),
         F.lit(1).alias("avalanche_occurred"),
     ).dropna(subset=["Date", "avalanche_size", "Area"])
     return cleaned.filter(natural_trigger(F.col("Trigger"))) if natural_only else cleaned

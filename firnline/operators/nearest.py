@@ -63,8 +63,12 @@ def _by_array(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
             s["station_triplet"].alias("station_triplet"),
         )
 
+    # Few bytes but much work per row: a fixed number of partitions keeps small inputs spread out.
+    spread = places.repartition(
+        int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PLACE
+    )
     return (
-        places.withColumns(
+        spread.withColumns(
             {"__lon": F.radians("Longitude"), "__lat": F.radians("latitude"), "__all": packed}
         )
         .withColumn("stations", F.slice(F.sort_array(F.transform("__all", by_distance)), 1, k))
