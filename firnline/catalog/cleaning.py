@@ -228,10 +228,10 @@ def _(t: Tables):
     regexp_extract("Area", '[A-Z]+', 0) as letters,
     concat_ws(',', "Area", "Type") as joined,
     printf('%.1f', avalanche_size) as one_decimal, printf('NEG_%06d', source_pos) as padded
-  from v_clean_all""")
+  from v_reports""")
 def _(t: Tables):
     area = F.col("Area")
-    return cleaning.clean_reports(t.raw_reports, natural_only=False).select(
+    return t.reports.select(
         "source_pos", F.upper(F.trim(area)).alias("upper_area"),
         F.replace(area, F.lit("-"), F.lit("_")).alias("replaced"),
         F.split(area, "-")[0].alias("first_part"),
@@ -293,11 +293,11 @@ def _(t: Tables):
       else 'small' end as class,
     case when source_pos % 13 <> 0 then avalanche_size end as number_or_null,
     case when source_pos % 13 <> 0 then avalanche_size else 0 end as number_or_zero
-  from v_clean_all""")
+  from v_reports""")
 def _(t: Tables):
     size = F.col("avalanche_size")
     noisy = F.when(F.col("source_pos") % 13 == 0, F.lit(float("nan"))).otherwise(size)
-    return cleaning.clean_reports(t.raw_reports, natural_only=False).select(
+    return t.reports.select(
         "source_pos", F.col("Aspect").isNull().alias("no_aspect"),
         F.coalesce("Type", F.lit("unknown")).alias("type_or_default"),
         F.when(size > 3, "large").when(size > 2, "middle").otherwise("small").alias("class"),
