@@ -70,7 +70,8 @@ def station_daily(
 
 def elevation_grid(spark: SparkSession, path: str) -> DataFrame:
     """Elevation cells from a Parquet table partitioned by tile; a join on the tile prunes."""
-    return spark.read.schema(schemas.ELEVATION_GRID).parquet(path)
+    cells = spark.read.schema(schemas.ELEVATION_GRID).parquet(path)
+    return cells.select(*schemas.ELEVATION_GRID.names)  # partition columns are read last
 
 
 def parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
