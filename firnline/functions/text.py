@@ -68,9 +68,34 @@ def title_case(c: Column) -> Column:
     return F.regexp_replace(words, r"24h", "24H")
 
 
+def degrees_text(c: Column) -> Column:
+    """Degrees with six decimals, put together from whole micro-degrees.
+
+    Several times cheaper per row than ``format_string``, which interprets its format each time.
+    """
+    micro = F.abs(F.rint(c * 1e6)).cast("long")
+    sign = F.when(c < 0, "-").otherwise("")
+    whole, rest = F.floor(micro / 1_000_000), micro % 1_000_000
+    return F.concat(
+        sign, whole.cast("string"), F.lit("."), F.lpad(rest.cast("string"), 6, "0")
+    )
+
+
 def event_id(lon: Column, lat: Column, ts: Column) -> Column:
-    """Identifier of a place and a minute."""
-    return F.format_string("%.6f_%.6f_%s", lon, lat, F.date_format(ts, "yyyyMMdd_HHmm"))
+    """Identifier of a place and a minute: degrees with six decimals, then yyyymmdd_HHMM."""
+    return F.concat_ws(
+        "_", degrees_text(lon), degrees_text(lat), F.date_format(ts, "yyyyMMdd_HHmm")
+    )
+
+
+def event_key(lon: Column, lat: Column, ts: Column) -> dict[str, Column]:
+    """The same identity as numbers: cheaper to sort and shuffle than the text."""
+    return {
+        "__lon": F.rint(lon * 1e6).cast("long"),
+        "__lat": F.rint(lat * 1e6).cast("long"),
+        "__day": F.to_date(ts),
+        "__minute": F.hour(ts) * 60 + F.minute(ts),
+    }
 
 
 def station_number(triplet: Column) -> Column:

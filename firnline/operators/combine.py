@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
-from firnline.functions.text import event_id
+from firnline.functions.text import event_id, event_key
 from firnline.operators.cleaning import quoted
 from firnline.operators.nearest import PLACE
 from firnline.operators.ranking import first_per_key
@@ -42,8 +42,13 @@ def with_event_id(reports: DataFrame, name: str = "unique_id") -> DataFrame:
 
 
 def one_per_event(reports: DataFrame, order: list[str]) -> DataFrame:
-    """The first report of every place and minute, in input order."""
-    return first_per_key(with_event_id(reports), ["unique_id"], order)
+    """The first report of every place and minute, in input order, with its ``unique_id``.
+
+    Rows meet on the numbers the id is made of; only survivors get the text.
+    """
+    key = event_key(F.col("Longitude"), F.col("latitude"), F.col("Date"))
+    first = first_per_key(reports.withColumns(key), list(key), order)
+    return with_event_id(first.drop(*key))
 
 
 def replace_id(reports: DataFrame) -> DataFrame:

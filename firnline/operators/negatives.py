@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
-from firnline.functions.text import fixed
+from firnline.functions.text import degrees_text
 from firnline.functions.time import plus_days
 from firnline.operators.combine import keep_columns
 from firnline.operators.nearest import PLACE
@@ -48,7 +48,7 @@ def candidates(positives: DataFrame, lag_days: int = fv.REPORTING_LAG_DAYS) -> D
 
 def in_random_order(candidate_days: DataFrame, seed: int = fv.SEED) -> DataFrame:
     digest = hash_order(
-        fixed(F.col("Longitude"), 6), fixed(F.col("latitude"), 6),
+        degrees_text(F.col("Longitude")), degrees_text(F.col("latitude")),
         F.coalesce("Area", F.lit("")),
         F.date_format("Date", "yyyyMMdd"), F.lit(str(seed)),
     )

@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small tables with costly rows: keep all cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

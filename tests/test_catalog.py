@@ -15,22 +15,18 @@ def db():
 
 @pytest.mark.parametrize("name", list(TWINS))
 def test_twin(spark, db, name):
-    found = difference(QUERIES[name](spark, SMALL), db, TWINS[name])
-    assert found in (None, "no rows")
+    result = QUERIES[name](spark, SMALL)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                 "ArrowEvalPython", "MapInPandas"):
+        assert slow not in plan, slow
+    assert difference(result, db, TWINS[name]) in (None, "no rows")
 
 
 def test_every_twin_has_a_query():
     assert TWINS.keys() <= QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in TWINS])
-def test_plan(spark, name):
-    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-                 "ArrowEvalPython", "MapInPandas"):
-        assert slow not in plan, slow
-
-
 def test_columns_are_pruned(spark):
     plan = QUERIES["agg_monthly_timeline"](spark, SMALL)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
