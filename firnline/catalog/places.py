@@ -20,7 +20,7 @@ _PLACE_SQL = '"Longitude", latitude'
   from v_near p join v_stations s using (station_id) where rn <= 3""".replace(
     "from v_near p", "from (select \"Longitude\", latitude, station_id, rn from v_near) p"))
 def _(t: Tables):
-    pairs = t.build.nearest.select(*PLACE, F.posexplode("stations").alias("rank", "s")).select(
+    pairs = t.build.nearest.select(*PLACE, F.posexplode_outer("stations").alias("rank", "s")).select(
         *PLACE, (F.col("rank") + 1).cast("long").alias("rank"),
         F.col("s.station_id").alias("station_id"),
     )
@@ -146,7 +146,7 @@ def _(t: Tables):
     round(distance_km, 6) as distance_km from v_near""")
 def _(t: Tables):
     found = nearest_stations(t.places, t.stations)
-    return found.select(*PLACE, F.posexplode("stations").alias("rank", "s")).select(
+    return found.select(*PLACE, F.posexplode_outer("stations").alias("rank", "s")).select(
         *PLACE, (F.col("rank") + 1).cast("long").alias("rank"), "s.station_id",
         "s.station_triplet", r6(F.col("s.distance_km")).alias("distance_km"),
     )
@@ -156,7 +156,7 @@ def _(t: Tables):
   select "Longitude", latitude, rn as rank, name, round(distance_km, 6) as distance_km
   from v_near_all where rn <= 5""")
 def _(t: Tables):
-    near = nearest_stations(t.places, t.stations, k=8).select(*PLACE, F.inline("stations"))
+    near = nearest_stations(t.places, t.stations, k=8).select(*PLACE, F.inline_outer("stations"))
     return ranking.smallest_per_key(
         near, PLACE, ["distance_km", "name"], 5, rank="rank"
     ).select(*PLACE, F.col("rank").cast("long").alias("rank"), "name",
@@ -177,7 +177,7 @@ def _(t: Tables):
 
 def _asked(t: Tables):
     return t.place_days.join(t.build.nearest, PLACE).select(
-        *PLACE, "day", F.posexplode("stations").alias("rank", "s")
+        *PLACE, "day", F.posexplode_outer("stations").alias("rank", "s")
     ).select(
         *PLACE, "day", "rank",
         F.col("s.station_triplet").alias("station_triplet"),

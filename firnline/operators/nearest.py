@@ -32,6 +32,8 @@ def nearest_stations(
 
     ``places`` holds distinct ``Longitude``, ``latitude``. ``method`` is ``array``, ``cubes`` or
     ``auto``, which counts the stations up to the limit and no further.
+
+    Stage the result when it is read more than once, and unnest the array with an outer explode.
     """
     if method == "auto":
         few = stations.limit(ARRAY_LIMIT + 1).count() <= ARRAY_LIMIT

@@ -117,10 +117,12 @@ def interpolate(place_days: DataFrame, nearest: DataFrame, readings: DataFrame)
     """Readings of the nearest stations, interpolated to each distinct place and day.
 
     ``place_days``: distinct (Longitude, latitude, day); ``nearest``: one row per place with its
-    ``stations`` array; ``readings``: one row per (station_triplet, day).
+    ``stations`` array; ``readings``: one row per (station_triplet, day). A place without stations
+    keeps its row, with nulls. (An inner explode would also let Spark infer a filter on the array
+    and push it, with the whole search, below the step that made places distinct.)
     """
     asked = place_days.join(nearest.select(*PLACE, "stations"), PLACE).select(
-        *PLACE, "day", F.posexplode("stations").alias("rank", "station")
+        *PLACE, "day", F.posexplode_outer("stations").alias("rank", "station")
     ).select(
         *PLACE, "day", "rank",
         F.col("station.distance_km").alias("distance_km"),
