@@ -65,9 +65,10 @@ def _by_array(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
             s["station_triplet"].alias("station_triplet"),
         )
 
-    # Few bytes but much work per row: a fixed number of partitions keeps small inputs spread out.
+    # Few bytes but much work per row: an explicit number of round-robin partitions is neither
+    # coalesced by AQE nor taken for the hash exchange that made the places distinct.
     spread = places.repartition(
-        int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PLACE
+        int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     )
     return (
         spread.withColumns(
