@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import chat, decontaminate, html, lines, packing, personal, quality, simhash, topk
+from firnline.llm import backoff, chat, decontaminate, html, lines, packing, personal, quality, simhash, topk
 from firnline.llm.common import per_batch, table, text_of
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -107,6 +107,11 @@ from documents left join per_host on host = coalesce(source, '')
 """
 
 
+def op5_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language-model score of every document."""
+    return backoff.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -183,6 +188,6 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url", html.rendered().alias("text"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_topk, op3_personal, op4_lines, op6_packing,
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_topk, op3_personal, op4_lines, op5_backoff, op6_packing,
                                    op7_chat, op8_simhash, op9_quality, op10_html)}
 SQL = {"op1_decontaminate": OP1_SQL, "op2_topk": OP2_SQL, "op4_lines": OP4_SQL}

@@ -1,0 +1,149 @@
+"""Decontamination, personal data, HTML: columns over whole texts."""
+
+import random
+import re
+
+import ahocorasick  # noqa: F401
+import pytest
+from pyspark.sql import functions as F
+
+from compare import database, difference
+from firnline.llm import decontaminate, html, personal, queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return database(SMALL)
+
+
+@pytest.mark.parametrize("name", list(queries.SQL))
+def test_query_against_sql(spark, db, name):
+    assert difference(queries.QUERIES[name](spark, SMALL), db, queries.SQL[name]) is None
+
+
+def plain_hits(text, items, window):
+    fold = lambda t: re.findall(decontaminate.WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    words, hit, found = fold(text), set(), set()
+    for item, said in items:
+        parts = fold(said)
+        n = min(window, len(parts))
+        for i in range(len(parts) - n + 1 if n else 0):
+            for j in range(len(words) - n + 1):
+                if words[j: j + n] == parts[i: i + n]:
+                    hit.update(range(j, j + n))
+                    found.add(item)
+    return len(words), len(hit), sorted(x for x in found if x is not None)
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_decontaminate_small(spark, documents, block):
+    rng = random.Random(1)
+    word = lambda: rng.choice(["a", "B", "c9", "É", "Ä"])
+    items = [(i, " ".join(word() for _ in range(rng.randint(0, 6)))) for i in range(6)] + [(None, "a a a"), (9, None), (0, "c9")]
+    rows = [(i, (", " if i % 2 else " ").join(word() for _ in range(rng.randint(0, 40)))) for i in range(30)]
+    rows += [(100, None), (101, ""), (1, rows[1][1]), (None, "a a a")]
+    out = decontaminate.with_hits(documents(rows), spark.createDataFrame(items, "item_id long, text string"), 3, block=block)
+    got = out.select("doc_id", "text", "hits.n_words", "hits.n_hit", "hits.items", "hits.spans", "rank").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_words, r.n_hit, r["items"]) == plain_hits(r.text, items, 3), r
+        inside = [re.findall(decontaminate.WORD, r.text[s.start: s.end]) for s in r.spans]
+        assert sum(map(len, inside)) == r.n_hit and r["rank"] == 7
+
+
+def test_decontaminate_odd(spark, odd):
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert {r.hits.n_hit for r in decontaminate.with_hits(odd, empty).collect()} == {0}
+    one = spark.createDataFrame([(1, "ONE two")], "item_id long, text string")
+    got = decontaminate.with_hits(odd, one).filter("hits.n_hit > 0").select("text").collect()
+    assert [r.text for r in got] == ["one two three"] * 4
+    assert decontaminate.with_hits(odd.limit(0), one).count() == 0
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else 0,
+                    "card": 16 <= len(digits) <= 19 and personal.luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
+            if good:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_personal_against_patterns():
+    automaton, rng = personal.anchors(), random.Random(2)
+    texts = ["".join(rng.choice("19@.+- a(x0255") for _ in range(rng.randint(0, 60))) for _ in range(30_000)]
+    texts += ["a@b@c.d.e a@b.c@d.e @x.y a@.b 1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.255 4111 1111-1111 1111 +1 (234) 555-0199.",
+              "4111111111111111" + "1" * 50_000, "+1" + " " * 1000 + "2", "é@ü.de x@y.z"]
+    for t in texts:
+        assert [s for s in personal.find(t, automaton) if s[0] in BASE] == plain_spans(t), t
+
+
+def test_personal_more_kinds():
+    t = "see https://ex.org/a?b=1, and password=7602ad27cf IBAN: DE44500105175407324931 token = \"1beb58b8af\" tokens"
+    got = {(k, t[a:b]) for k, a, b in personal.find(personal.lowered(t), personal.anchors())}
+    assert {("url", "https://ex.org/a?b=1"), ("account", "7602ad27cf"), ("account", "DE44500105175407324931"),
+            ("account", "1beb58b8af")} <= got
+
+
+def test_personal_odd(odd):
+    assert {len(r.s) for r in odd.select(personal.personal_spans().alias("s")).collect()} == {0}
+    shown = odd.limit(1).select(F.lit("mail a@b.cd now").alias("text")).withColumn("spans", personal.personal_spans())
+    assert shown.select(personal.masked()).first()[0] == "mail [email] now"
+
+
+def test_personal_query(spark):
+    import hashlib
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in queries.op3_personal(spark, SMALL).collect():
+        spans = plain_spans(texts[r.doc_id])
+        assert r.n_email == sum(s[0] == "email" for s in spans)
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+PAGES = [
+    ("<p>One<p>Two <b>bold</b> text<br>next", "One\n\nTwo bold text\nnext"),
+    ("<ul><li>a<li>b<ol><li>c<li>d</ol></ul>x", "- a\n- b\n  1. c\n  2. d\n\nx"),
+    ("<table><tr><th>Name<th>Age<tr><td>Ann<td>5<tr><td>Bernard<td>12</table>", "Name     Age\nAnn      5\nBernard  12"),
+    ("<div hidden>no</div><span style='DISPLAY: none'>no</span>yes<script>var t='</p>';</script>", "yes"),
+    ("<head><title>t</title></head><body>a&amp;b&nbsp;c</body>", "a&b c"),
+    ("<pre>  x\n    y</pre>z", "  x\n    y\n\nz"),
+    ("a</div></p>b<td>c", "ab\nc"),
+    ("plain\n  text", "plain text"),
+    (None, ""), ("", ""), ("<", "<"), ("<!-- c --><b", ""),
+    ("<div>" * 20_000 + "deep" + "</div>" * 20_000, "deep"),
+    ("<table><tr><td>" * 60 + "in", "in"),
+]
+
+
+def test_html_pages(spark):
+    df = spark.createDataFrame([(i, p, w) for i, (p, w) in enumerate(PAGES)], "page_id int, html string, wanted string")
+    for r in df.withColumn("text", html.rendered()).collect():
+        assert r.text.strip("\n") == r.wanted.strip("\n") or r.text == r.wanted, (r.page_id, r.text)
+
+
+def test_html_loses_no_visible_word(spark):
+    """Against a plain reading: scripts, styles, heads and comments cut out, then all tags."""
+    import html as names
+
+    for r in spark.read.parquet(f"{SMALL}/pages.parquet").withColumn("got", html.rendered()).collect():
+        plain = re.sub(r"(?is)<(script|style|head|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<!DOCTYPE[^>]*>", " ", r.html or "")
+        if re.search(r"(?i)\bhidden\b|display\s*:|visibility|<input|<iframe|<svg|<img", plain):
+            continue
+        plain = names.unescape(re.sub(r"(?s)</?[A-Za-z][^>]*>", " ", plain))
+        marks = re.compile(r"(?m)^\s*(?:-|\d+\.)\s")
+        assert sorted("".join(plain.split())) == sorted("".join(marks.sub("", r.got).split())) or \
+            sorted(set(plain.split())) == sorted(set(marks.sub("", r.got).split())), r.page_id
