@@ -42,7 +42,8 @@ def _(t: Tables):
 
 
 @query("clean_parse_date", """
-  select source_pos, strftime(cast("Date" as timestamp), '%Y-%m-%d %H:%M:%S') as parsed,
+  select source_pos, strftime(coalesce(try_cast("Date" as timestamp),
+      strptime("Date", '%m/%d/%Y %H:%M')), '%Y-%m-%d %H:%M:%S') as parsed,
     strftime(try_cast("Longitude" as timestamp), '%Y-%m-%d %H:%M:%S') as lenient from v_raw""")
 def _(t: Tables):
     return t.raw_reports.select(
@@ -176,14 +177,14 @@ def _(t: Tables):
 
 
 @query("project_station_parse", """
-  select station_triplet, cast(split_part(station_triplet, ':', 1) as bigint) as station_id,
+  select station_triplet, split_part(station_triplet, ':', 1) as station_id,
     case when len(string_split(station_triplet || ':x', ':')) = 3
       then split_part(station_triplet, ':', 1) end as of_four_parts
   from v_stations""")
 def _(t: Tables):
     triplet = F.col("station_triplet")
     return t.stations.select(
-        triplet, text.station_number(triplet).cast("long").alias("station_id"),
+        triplet, text.station_number(triplet).alias("station_id"),
         text.station_number(F.concat(triplet, F.lit(":x"))).alias("of_four_parts"),
     )
 

@@ -49,14 +49,14 @@ def _(t: Tables):
   select station_id, station_triplet, name, s_lat as latitude, s_lon as longitude, elevation_ft,
     round(case when elevation_ft <> 0 then elevation_ft * 0.3048::double end, 6) as elevation_m,
     '' as county, '' as huc, true as active
-  from v_stations where station_id % 7 <> 3
+  from v_stations where station_no % 7 <> 3
     and s_lat between 36.9 and 41.1 and s_lon between -109.1 and -102.0""")
 def _(t: Tables):
     path = _folder(t, "stations-json")
-    odd = F.col("station_id") % 7 == 3
+    odd = F.regexp_replace("station_id", "A", "").cast("long") % 7 == 3
     t.stations.select(
         # Some codes lose a part and must be skipped.
-        F.when(odd, F.concat(F.col("station_id").cast("string"), F.lit(":CO")))
+        F.when(odd, F.concat("station_id", F.lit(":CO")))
         .otherwise(F.col("station_triplet")).alias("stationTriplet"),
         "name", "latitude", "longitude", F.col("elevation_ft").alias("elevation"),
     ).write.json(path)
@@ -67,7 +67,7 @@ def _(t: Tables):
   select station_triplet, strftime(day, '%Y-%m-%d') as day, depth_in, swe_in, temp_f from v_daily""")
 def _(t: Tables):
     path = _folder(t, "daily")
-    writers.station_daily(t.daily, path)
+    writers.station_daily(t.landed_daily, path)
     table = readers.station_daily(t.spark, path)
     return table.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
@@ -77,5 +77,5 @@ def _(t: Tables):
     "row", col, elevation from v_grid""")
 def _(t: Tables):
     path = _folder(t, "grid")
-    writers.elevation_grid(t.cells, path)
+    writers.elevation_grid(t.landed_cells, path)
     return readers.elevation_grid(t.spark, path)

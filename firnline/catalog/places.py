@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from firnline.catalog.registry import query, r6, rounded
-from firnline.catalog.tables import GRID, GRID_COLS, Tables
+from firnline.catalog.registry import query, r6, rounded, with_place
+from firnline.catalog.tables import GRID, GRID_COLS, Tables, _code
 from firnline.catalog.twins import HAVERSINE, VIEWS, _readings, compass, stencil
 from firnline.functions import measure
 from firnline.operators import combine, negatives, ranking, terrain, weather
@@ -59,7 +59,7 @@ def _(t: Tables):
   select p."Longitude", p.latitude, p."row", p.col, g.elevation
   from v_located p left join v_grid g on g."row" = p."row" and g.col = p.col""")
 def _(t: Tables):
-    return terrain.at_points(t.places, t.cells, GRID)
+    return terrain.at_points(t.places, t.landed_cells, GRID)
 
 
 @query("terrain_elevation", """
@@ -85,7 +85,7 @@ def _(t: Tables):
     located = t.places.select(
         GRID.row(F.col("latitude")).alias("row"), GRID.col(F.col("Longitude")).alias("col")
     )
-    return terrain.windows(located.distinct(), t.cells, GRID)
+    return terrain.windows(located.distinct(), t.landed_cells, GRID)
 
 
 @query("terrain_slope_aspect", """
@@ -141,17 +141,28 @@ def _(t: Tables):
     return rounded(terrain.patch(t.places, t.cells, GRID, half_width=0.25))
 
 
-@query("join_knn_stations", """
+_KNN_SQL = """
   select "Longitude", latitude, rn as rank, station_id, station_triplet,
-    round(distance_km, 6) as distance_km from v_near""")
-def _(t: Tables):
-    found = nearest_stations(t.places, t.stations)
+    round(distance_km, 6) as distance_km from v_near"""
+
+
+def _ranked_stations(found):
     return found.select(*PLACE, F.posexplode_outer("stations").alias("rank", "s")).select(
         *PLACE, (F.col("rank") + 1).cast("long").alias("rank"), "s.station_id",
         "s.station_triplet", r6(F.col("s.distance_km")).alias("distance_km"),
     )
 
 
+@query("join_knn_stations", _KNN_SQL)
+def _(t: Tables):
+    return _ranked_stations(nearest_stations(t.places, t.stations))
+
+
+@query("join_knn_stations_array", _KNN_SQL)
+def _(t: Tables):
+    return _ranked_stations(nearest_stations(t.places, t.stations, method="array"))
+
+
 @query("win_top_k", """
   select "Longitude", latitude, rn as rank, name, round(distance_km, 6) as distance_km
   from v_near_all where rn <= 5""")
@@ -165,12 +176,12 @@ def _(t: Tables):
 
 @query("join_station_lookup", """
   select e.event_id, s.station_triplet, s.name from events e
-  join v_stations s on s.station_id = e.user_id""")
+  join v_stations s on s.station_no = e.user_id""")
 def _(t: Tables):
     first = ranking.first_per_key(
         t.stations.select("station_id", "station_triplet", "name"), ["station_id"], ["name"]
     )
-    return t.read("events").select("event_id", F.col("user_id").alias("station_id")).join(
+    return t.read("events").select("event_id", _code(F.col("user_id")).alias("station_id")).join(
         first, "station_id"
     ).drop("station_id")
 
@@ -189,7 +200,7 @@ def _asked(t: Tables):
   select station_triplet, strftime(day, '%Y-%m-%d') as day, round(snow_depth, 6) as snow_depth,
     round(swe, 6) as swe, round(temp, 6) as temp from v_readings""")
 def _(t: Tables):
-    return rounded(weather.look_up(_asked(t), t.daily).drop("new_snow_24h"))
+    return rounded(weather.look_up(_asked(t), t.landed_daily).drop("new_snow_24h"))
 
 
 _readings("v_past_readings", "v_keys", future=0)
@@ -199,7 +210,7 @@ _readings("v_past_readings", "v_keys", future=0)
   select station_triplet, strftime(day, '%Y-%m-%d') as day, round(snow_depth, 6) as snow_depth,
     round(swe, 6) as swe, round(temp, 6) as temp from v_past_readings""")
 def _(t: Tables):
-    return rounded(weather.look_up(_asked(t), t.daily, allow_future=False).drop("new_snow_24h"))
+    return rounded(weather.look_up(_asked(t), t.landed_daily, allow_future=False).drop("new_snow_24h"))
 
 
 @query("join_asof_24h_change", """
@@ -207,7 +218,7 @@ def _(t: Tables):
   from v_readings""")
 def _(t: Tables):
     return rounded(
-        weather.look_up(_asked(t), t.daily).select("station_triplet", "day", "new_snow_24h")
+        weather.look_up(_asked(t), t.landed_daily).select("station_triplet", "day", "new_snow_24h")
     )
 
 
@@ -233,7 +244,7 @@ def _(t: Tables):
   from v_weather""")
 def _(t: Tables):
     return rounded(
-        weather.interpolate(t.place_days, t.build.nearest, weather.station_days(t.daily))
+        weather.interpolate(t.place_days, t.build.nearest, weather.station_days(t.landed_daily))
     )
 
 
@@ -324,21 +335,24 @@ def _(t: Tables):
 
 
 @query("join_cross_candidates", """
-  select "Longitude", latitude, "Area", strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date"
-  from v_candidates""")
+  select "Longitude", latitude, "Area", strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date", draw
+  from v_drawn""")
 def _(t: Tables):
-    return rounded(negatives.candidates(t.positives))
+    return rounded(negatives.draws(t.positives))
 
 
 @query("join_anti_known_events", """
-  select "Longitude", latitude, "Area", strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date"
+  select "Longitude", latitude, "Area", strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date", draw
   from v_tried""")
 def _(t: Tables):
-    drawn = ranking.first_by_hash(
-        negatives.in_random_order(negatives.candidates(t.positives)), "draw",
-        negatives.target_count(t.positives, times=10),
-    )
-    return rounded(negatives.without_known_events(drawn, t.positives).drop("draw"))
+    return rounded(negatives.without_known_events(negatives.draws(t.positives), t.positives))
+
+
+@query("sample_negatives_counts", """
+  select cast(count(*) * 2 as bigint) as wanted, cast(count(*) * 20 as bigint) as tried,
+    (select count(*) from v_negatives) as made from v_positives""")
+def _(t: Tables):
+    return negatives.outcome(t.positives, t.training.filter(F.col("avalanche_occurred") == 0))
 
 
 @query("join_anti_chosen", """
@@ -377,6 +391,9 @@ def _(t: Tables):
     return t.place_days.select(*PLACE, F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-@query("sort_by_name", "select station_id, station_triplet, name from v_stations")
+@query("sort_by_name", """
+  select station_id, station_triplet, name,
+    cast(row_number() over (order by name, station_id) as int) as place from v_stations""")
 def _(t: Tables):
-    return t.stations.select("station_id", "station_triplet", "name").orderBy("name", "station_id")
+    ordered = t.stations.select("station_id", "station_triplet", "name").orderBy("name", "station_id")
+    return with_place(ordered)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
-from firnline.catalog.registry import day_text, query, r6, rounded, time_text
+from firnline.catalog.registry import day_text, query, r6, rounded, time_text, with_place
 from firnline.catalog.tables import Tables
 from firnline.operators import model, profile, quantiles
 from firnline.operators.nearest import PLACE
@@ -348,23 +348,26 @@ def _(t: Tables):
 
 
 @query("sort_desc_metric", """
-  select "Aspect", round(avg(avalanche_size), 6) as mean from v_history
-  where "Aspect" is not null group by 1""")
+  select "Aspect", mean, cast(row_number() over (order by mean desc, "Aspect") as int) as place
+  from (select "Aspect", round(avg(avalanche_size), 6) as mean from v_history
+    where "Aspect" is not null group by 1)""")
 def _(t: Tables):
-    return rounded(
+    means = rounded(
         profile.group_stats(t.history.filter(F.col("Aspect").isNotNull()), "Aspect",
                             "avalanche_size").select("Aspect", "mean")
     )
+    return with_place(means.orderBy(F.desc("mean"), "Aspect"))
 
 
 @query("limit_head", """
-  select source_pos, strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date", avalanche_size from v_history
+  select source_pos, strftime("Date", '%Y-%m-%d %H:%M:%S') as "Date", avalanche_size,
+    cast(row_number() over (order by v_history."Date", source_pos) as int) as place from v_history
   order by v_history."Date", source_pos limit 10""")
 def _(t: Tables):
-    return rounded(
+    return with_place(rounded(
         t.history.orderBy("Date", "source_pos").limit(10)
         .select("source_pos", "Date", "avalanche_size")
-    )
+    ))
 
 
 _FEATURE_SQL = ", ".join(f"round({c}, 6) as {c}" for c in fv.FEATURES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
-from firnline.catalog.registry import query, r6, rounded
+from firnline.catalog.registry import query, r6, rounded, with_place
 from firnline.catalog.tables import Tables
 from firnline.operators import evaluate, explain, negatives, split
 
@@ -46,11 +46,13 @@ def _(t: Tables):
 
 
 @query("sample_shuffle", """
-  select "Observation ID", avalanche_occurred from v_training""")
+  select "Observation ID", avalanche_occurred,
+    cast(row_number() over (order by md5("Observation ID" || '|42')) as int) as place
+  from v_training""")
 def _(t: Tables):
-    return negatives.shuffled(
+    return with_place(negatives.shuffled(
         t.training.select("Observation ID", "avalanche_occurred"), "Observation ID"
-    )
+    ))
 
 
 _CELLS = """(select count_if(score < {0} and label = 0) as tn, count_if(score >= {0} and label = 0)

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from firnline.catalog.tables import Tables, open_tables
 from firnline.catalog.twins import with_views
+from firnline.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TWINS: dict[str, str] = {}
@@ -28,6 +30,24 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def with_place(ordered: DataFrame) -> DataFrame:
+    """Number the rows of a sorted frame in the order it has, so that the order can be checked.
+
+    Sorting leaves the order in the partitions: a row's place is its place in its partition after
+    the rows of the partitions before, which are few numbers.
+    """
+    stored = stage(ordered.withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    partition = F.shiftright("__at", 33)
+    earlier = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    before = stored.groupBy(partition.alias("__part")).agg(F.count("*").alias("__n")).select(
+        "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    )
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.withColumn("__part", partition).join(F.broadcast(before), "__part").withColumn(
+        "place", (F.col("__before") + inside + 1).cast("int")
+    ).drop("__part", "__at", "__before")
+
+
 def r6(c: Column | str) -> Column:
     return F.round(c, 6)
 

@@ -5,17 +5,20 @@ Each has a twin in ``twins.py`` that says the same in SQL, so results can be com
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
+from firnline.functions.measure import nans_to_null
 from firnline.functions.time import plus_days
 from firnline.operators import cleaning, terrain
 from firnline.operators.nearest import PLACE
 from firnline.plans.features import FeatureBuild
-from firnline.session import stage
+from firnline.session import shared_folder, stage
+from firnline.sources import writers
 
 GRID = terrain.Grid(x0=-109.0, dx=0.14, y0=41.0, dy=0.1, tile=16)
 GRID_COLS = 50
@@ -50,6 +53,14 @@ def _choice(index: Column, words: list[str]) -> Column:
     return F.try_element_at(F.array(*[F.lit(w) for w in words]), index.cast("int") + 1)
 
 
+def _code(key: Column) -> Column:
+    """A station's code: a number, with a letter in front for some."""
+    return F.concat(F.when(key % 13 == 5, "A").otherwise(""), key.cast("string"))
+
+
+FIRST_DAY, DAYS = "2022-01-01", 731  # of the reports and readings
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -61,8 +72,8 @@ class Tables:
     def stations(self) -> DataFrame:
         key = F.col("s_suppkey")
         return self.read("supplier").select(
-            key.alias("station_id"),
-            F.concat(key.cast("string"), F.lit(":CO:STN")).alias("station_triplet"),
+            _code(key).alias("station_id"),
+            F.concat(_code(key), F.lit(":CO:STN")).alias("station_triplet"),
             F.col("s_name").alias("name"),
             _lat(key * 104729).alias("latitude"),
             _lon(key * 7919).alias("longitude"),
@@ -85,12 +96,18 @@ class Tables:
         """Reports as text, with a position that gives their order; stored, as a file would be."""
         k = F.col("o_orderkey")
         lon, lat = self._place()
-        day = plus_days(F.lit("2024-01-01 08:15:00").cast("timestamp_ntz"), (k % 30).cast("int"))
+        day = plus_days(
+            F.lit(f"{FIRST_DAY} 08:15:00").cast("timestamp_ntz"), (k * 37 % DAYS).cast("int")
+        )
+        # Some reports write their date month first.
+        written = F.when(k % 4 == 1, F.date_format(day, "M/d/yyyy H:mm")).otherwise(
+            F.date_format(day, "yyyy-MM-dd HH:mm:ss")
+        )
         status = F.col("o_orderstatus")
         text = self.read("orders").select(
             k.alias("source_pos"),
             (k % 5000).cast("string").alias("Observation ID"),
-            F.when(k % 101 != 0, F.date_format(day, "yyyy-MM-dd HH:mm:ss")).alias("Date"),
+            F.when(k % 101 != 0, written).alias("Date"),
             F.when(k % 97 == 0, " - ").when(k % 89 == 0, "abc")
             .otherwise(F.concat(F.lit(" -"), _thousandths(_west(lon)), F.lit("\t")))
             .alias("Longitude"),
@@ -132,29 +149,50 @@ class Tables:
         )
 
     @cached_property
-    def daily(self) -> DataFrame:
-        value = F.col("value")
+    def landed_daily(self) -> DataFrame:
+        """Daily readings as they land: NaN stands for some that are missing."""
+        value, nan = F.col("value"), F.lit(float("nan"))
+        mark = F.col("user_id") + F.col("n")
         return (
             self.read("events")
-            .groupBy(
-                F.concat(F.col("user_id").cast("string"), F.lit(":CO:STN")).alias(
-                    "station_triplet"
-                ),
-                F.to_date("ts").alias("day"),
-            )
+            .groupBy("user_id", (F.col("event_id") * 7919 % DAYS).cast("int").alias("n"))
             .agg(
                 F.max(F.when(F.col("event_type") != "error", value)).alias("depth_in"),
                 F.min(value).alias("swe_in"),
                 (F.max(value) - 20.0).alias("temp_f"),
             )
+            .select(
+                F.concat(_code(F.col("user_id")), F.lit(":CO:STN")).alias("station_triplet"),
+                F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("n")).alias("day"),
+                F.when(mark % 17 == 0, nan).otherwise(F.col("depth_in")).alias("depth_in"),
+                "swe_in",
+                F.when(mark % 19 == 0, nan).otherwise(F.col("temp_f")).alias("temp_f"),
+            )
         )
 
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        """The landed readings as a table partitioned by month."""
+        path = f"{shared_folder(self.spark)}/daily-{uuid.uuid4().hex}"
+        writers.station_daily(self.landed_daily, path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return nans_to_null(self.landed_daily)
+
     @cached_property
     def cells(self) -> DataFrame:
+        return nans_to_null(self.landed_cells)
+
+    @cached_property
+    def landed_cells(self) -> DataFrame:
         key = F.col("p_partkey")
         row, col = F.floor(key / GRID_COLS), key % GRID_COLS
         flat = row.between(10, 16) & col.between(10, 16)
-        height = F.when(key % 53 == 0, fv.GRID_NODATA).when(flat, 2000.0).otherwise(
+        height = F.when(key % 53 == 0, fv.GRID_NODATA).when(key % 59 == 0, float("nan")).when(
+            flat, 2000.0
+        ).otherwise(
             1500.0 + key * 37 % 2800
         )
         return terrain.tiled(
@@ -210,7 +248,7 @@ class Tables:
     @cached_property
     def build(self) -> FeatureBuild:
         return FeatureBuild(
-            self.reports, self.stations, self.daily, self.cells, GRID, ["source_pos"]
+            self.reports, self.stations, self.stored_daily, self.landed_cells, GRID, ["source_pos"]
         )
 
     @cached_property

@@ -6,8 +6,13 @@ import re
 
 VIEWS: dict[str, str] = {}
 
-VIEWS["v_stations"] = """
-  select s_suppkey as station_id, s_suppkey || ':CO:STN' as station_triplet, s_name as name,
+def code(key: str) -> str:
+    return f"(case when {key} % 13 = 5 then 'A' else '' end || {key})"
+
+
+VIEWS["v_stations"] = f"""
+  select {code('s_suppkey')} as station_id, {code('s_suppkey')} || ':CO:STN' as station_triplet,
+    s_suppkey as station_no, s_name as name,
     cast(37050 + s_suppkey * 104729 % 3900 as double) / 1000 as s_lat,
     -cast(102050 + s_suppkey * 7919 % 6900 as double) / 1000 as s_lon,
     round_even(s_acctbal, 0) as elevation_ft
@@ -28,8 +33,11 @@ VIEWS["v_orders"] = """
 
 VIEWS["v_raw"] = """
   select k as source_pos, cast(k % 5000 as varchar) as "Observation ID",
-    case when k % 101 <> 0 then strftime(timestamp '2024-01-01 08:15:00' + k % 30 * interval 1 day,
-      '%Y-%m-%d %H:%M:%S') end as "Date",
+    case when k % 101 = 0 then null
+      when k % 4 = 1 then strftime(timestamp '2022-01-01 08:15:00' + k * 37 % 731 * interval 1 day,
+        '%-m/%-d/%Y %-H:%M')
+      else strftime(timestamp '2022-01-01 08:15:00' + k * 37 % 731 * interval 1 day,
+        '%Y-%m-%d %H:%M:%S') end as "Date",
     case when k % 97 = 0 then ' - ' when k % 89 = 0 then 'abc'
       else ' ' || printf('%.3f', lon) || chr(9) end as "Longitude",
     case when k % 83 <> 0 then printf('%.3f', lat) end as latitude,
@@ -54,7 +62,8 @@ def _cell(column: str) -> str:
 VIEWS["v_clean_all"] = f"""
   select * from (
     select source_pos, {_cell('"Observation ID"')} as "Observation ID",
-      cast({_cell('"Date"')} as timestamp) as "Date",
+      coalesce(try_cast({_cell('"Date"')} as timestamp),
+        strptime({_cell('"Date"')}, '%m/%d/%Y %H:%M')) as "Date",
       try_cast({_cell('"Longitude"')} as double) as "Longitude",
       try_cast({_cell('latitude')} as double) as latitude,
       {_cell('"Aspect"')} as "Aspect", {_cell('"Area"')} as "Area",
@@ -77,15 +86,18 @@ VIEWS["v_history"] = """
     case o_orderstatus when 'F' then 'N' when 'O' then 'U' end as "Trigger"
   from v_orders"""
 
-VIEWS["v_daily"] = """
-  select user_id || ':CO:STN' as station_triplet, cast(ts as date) as day,
-    max(case when event_type <> 'error' then value end) as depth_in,
-    min(value) as swe_in, max(value) - 20 as temp_f
-  from events group by 1, 2"""
+VIEWS["v_daily"] = f"""
+  select {code('user_id')} || ':CO:STN' as station_triplet, date '2022-01-01' + n as day,
+    case when (user_id + n) % 17 <> 0 then depth_in end as depth_in, swe_in,
+    case when (user_id + n) % 19 <> 0 then temp_f end as temp_f
+  from (select user_id, cast(event_id * 7919 % 731 as int) as n,
+      max(case when event_type <> 'error' then value end) as depth_in,
+      min(value) as swe_in, max(value) - 20 as temp_f
+    from events group by 1, 2)"""
 
 VIEWS["v_grid"] = """
   select cast(p_partkey // 50 as int) as "row", cast(p_partkey % 50 as int) as col,
-    cast(case when p_partkey % 53 = 0 then -32768
+    cast(case when p_partkey % 53 = 0 then -32768 when p_partkey % 59 = 0 then null
       when p_partkey // 50 between 10 and 16 and p_partkey % 50 between 10 and 16 then 2000
       else 1500 + p_partkey * 37 % 2800 end as double) as elevation
   from part"""
@@ -243,22 +255,25 @@ VIEWS["v_span"] = """
     date_sub('day', min("Date"), max("Date") - interval 10 day) as days
   from v_positives"""
 
-VIEWS["v_candidates"] = """
-  select l."Longitude", l.latitude, l."Area", s.first + d.n * interval 1 day as "Date"
-  from (select distinct "Longitude", latitude, "Area" from v_positives) l, v_span s,
-    (select unnest(range(0, 4000)) as n) d
-  where d.n <= s.days"""
+VIEWS["v_place_no"] = """
+  select *, row_number() over (order by md5(printf('%.6f', round_even("Longitude", 6)) || '|'
+      || printf('%.6f', round_even(latitude, 6)) || '|' || coalesce("Area", '') || '|42')) as place_no
+  from (select distinct "Longitude", latitude, "Area" from v_positives)"""
+
+VIEWS["v_draws"] = """
+  select draw, cast('0x' || substr(draw, 1, 8) as bigint) % (select count(*) from v_place_no) + 1
+      as place_no,
+    cast('0x' || substr(draw, 9, 8) as bigint) % (select days + 1 from v_span) as day_no
+  from (select md5("Observation ID" || '|' || attempt || '|42') as draw
+    from (select "Observation ID", unnest(range(20)) as attempt from v_positives))
+  where (select days from v_span) >= 0"""
 
 VIEWS["v_drawn"] = """
-  select *, md5(printf('%.6f', round_even("Longitude", 6)) || '|'
-    || printf('%.6f', round_even(latitude, 6)) || '|' || coalesce("Area", '') || '|'
-    || strftime("Date", '%Y%m%d') || '|42') as draw
-  from v_candidates"""
+  select l."Longitude", l.latitude, l."Area", s.first + d.day_no * interval 1 day as "Date", d.draw
+  from v_draws d join v_place_no l using (place_no), v_span s"""
 
 VIEWS["v_tried"] = """
-  select * from (
-    select * from v_drawn
-    qualify row_number() over (order by draw) <= (select count(*) * 2 * 10 from v_positives)) c
+  select * from v_drawn c
   where not exists (select 1 from v_positives p
     where round(p."Longitude", 6) = round(c."Longitude", 6)
       and round(p.latitude, 6) = round(c.latitude, 6)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
@@ -31,6 +31,12 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def nans_to_null(df: DataFrame) -> DataFrame:
+    """NaN means missing in every floating column."""
+    floats = [name for name, kind in df.dtypes if kind in ("double", "float")]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats})
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient, zero when the denominator is zero."""
     return F.when(denominator != 0, numerator / denominator).otherwise(F.lit(0.0))

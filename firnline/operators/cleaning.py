@@ -73,7 +73,7 @@ def stations_from_records(records: DataFrame) -> DataFrame:
     """Usable station records inside the state box, ordered by name."""
     number = text.station_number(F.col("stationTriplet"))
     return (
-        records.withColumn("station_id", number.try_cast("long"))
+        measure.nans_to_null(records).withColumn("station_id", number)
         .filter(F.col("station_id").isNotNull())
         .dropna(subset=["latitude", "longitude"])
         .filter(in_box(F.col("longitude"), F.col("latitude")))

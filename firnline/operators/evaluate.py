@@ -17,9 +17,7 @@ from firnline import fixed_values as fv
 from firnline.functions import measure
 from firnline.functions.measure import ratio
 from firnline.operators.ranking import hash_order, running_totals
-
-# Slices of the unit interval that scores fall into.
-SLICES = 1024
+from firnline.session import stage
 
 
 def _predicted(threshold: Column | float) -> Column:
@@ -105,15 +103,21 @@ def safety(scores: DataFrame, threshold: float) -> DataFrame:
 
 
 def per_score(scores: DataFrame) -> DataFrame:
-    """Positives and negatives per distinct score, with the slice the score falls in."""
-    return (
+    """Positives and negatives per distinct score, with the slice the score falls in; stored.
+
+    Slices are the partitions of a range sort, which Spark cuts by sampling: about as many distinct scores in each,
+    wherever the scores lie.
+    """
+    counted = (
         scores.filter(F.col("score").isNotNull())
         .groupBy("score")
         .agg(
             F.count_if(F.col("label") == 1).alias("pos"),
             F.count_if(F.col("label") == 0).alias("neg"),
         )
-        .withColumn("slice", F.floor(F.col("score") * SLICES))
+    )
+    return stage(
+        counted.repartitionByRange("score").withColumn("slice", F.spark_partition_id()), "per-score"
     )
 
 
@@ -121,8 +125,8 @@ def _cumulative(scores: DataFrame) -> DataFrame:
     """Positives and negatives scored at or above each distinct score, and in total."""
     counted = per_score(scores)
     reached = running_totals(counted, "slice", ["score"], ["pos", "neg"], descending=True)
-    totals = scores.filter(F.col("score").isNotNull()).agg(
-        F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")
+    totals = counted.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("p"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n")
     )
     return reached.withColumns(
         {"p": totals.select("p").scalar(), "n": totals.select("n").scalar()}

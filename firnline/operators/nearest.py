@@ -1,8 +1,8 @@
 """The k stations nearest to each place, by great-circle distance.
 
-Up to ``ARRAY_LIMIT`` stations travel as one array inside a scalar subquery: every place sorts that
-array in its own row and nothing is shuffled. Beyond the limit the stations stay distributed and a
-pyramid of cubes over the unit sphere narrows the search; both ways give the same answer.
+Stations stay distributed, and a pyramid of cubes over the unit sphere narrows the search. A caller whose stations are
+known to be few can ask for ``array`` instead: they travel as one array inside a scalar subquery, every place sorts that
+array in its own row and nothing is shuffled. Both ways give the same answer.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from firnline import fixed_values as fv
 from firnline.functions import measure
 from firnline.operators.ranking import smallest_per_key
 
-ARRAY_LIMIT = 2_000
 # Cube edges of the pyramid are 2 ** -level of the unit sphere's radius; the last is about 24 m.
 LEVELS = (3, 6, 9, 12, 15, 18)
 # Slack for rounding when a cube is ruled out, as a squared chord length (under a millimetre).
@@ -25,19 +24,16 @@ PLACE = ["Longitude", "latitude"]
 
 
 def nearest_stations(
-    places: DataFrame, stations: DataFrame, k: int = fv.NEAREST_STATIONS, method: str = "auto"
+    places: DataFrame, stations: DataFrame, k: int = fv.NEAREST_STATIONS, method: str = "cubes"
 ) -> DataFrame:
     """Add ``stations``: an array of (distance_km, name, station_id, station_triplet), nearest
     first, equal distances in order of name then id.
 
-    ``places`` holds distinct ``Longitude``, ``latitude``. ``method`` is ``array``, ``cubes`` or
-    ``auto``, which counts the stations up to the limit and no further.
+    ``places`` holds distinct ``Longitude``, ``latitude``. ``method`` is ``cubes``, or ``array`` for stations
+    that are known to fit in one row (thousands, not millions).
 
     Stage the result when it is read more than once, and unnest the array with an outer explode.
     """
-    if method == "auto":
-        few = stations.limit(ARRAY_LIMIT + 1).count() <= ARRAY_LIMIT
-        method = "array" if few else "cubes"
     if method == "array":
         return _by_array(places, stations, k)
     return _by_cubes(places, stations, k)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,31 +30,45 @@ def target_count(
     return positives.agg(wanted.alias("quota"))
 
 
-def candidates(positives: DataFrame, lag_days: int = fv.REPORTING_LAG_DAYS) -> DataFrame:
-    """Every known place with every day from the first event to ``lag_days`` before the last.
+def attempts_per_positive(ratio: float, per_negative: int) -> int:
+    return math.ceil(ratio * per_negative)
+
 
-    Days keep the first event's time of day. The day list is generated inside each row.
+def draws(
+    positives: DataFrame, ratio: float = fv.NEGATIVE_RATIO, seed: int = fv.SEED,
+    per_negative: int = fv.ATTEMPTS_PER_NEGATIVE, lag_days: int = fv.REPORTING_LAG_DAYS,
+) -> DataFrame:
+    """Random places and days, ``ratio`` × ``per_negative`` for each positive, each with its ``draw``.
+
+    A draw is the digest of the positive's id, the attempt and the seed. Two parts of it pick a known place (by its
+    number in hash order) and a day from the first event to ``lag_days`` before the last. So the work follows the
+    positives, however many places and days there are. Days keep the first event's time of day.
     """
     first = positives.agg(F.min("Date")).scalar()
     days = positives.agg(
         F.expr(f"timestampdiff(DAY, min(Date), max(Date) - interval '{lag_days}' day)")
     ).scalar()
-    return (
-        positives.select(*PLACE, "Area")
-        .distinct()
-        .withColumn("__n", F.explode(F.sequence(F.lit(0), F.greatest(days, F.lit(-1)).cast("int"))))
-        .filter(days >= 0)
-        .select(*PLACE, "Area", plus_days(first, F.col("__n")).alias("Date"))
+    known = positives.select(*PLACE, "Area").distinct().withColumn(
+        "__digest",
+        hash_order(degrees_text(F.col("Longitude")), degrees_text(F.col("latitude")),
+                   F.coalesce("Area", F.lit("")), F.lit(str(seed))),
     )
+    numbered = stage(position_by_hash(known, "__digest", "__place").drop("__digest"), "places")
+    count = numbered.agg(F.count("*")).scalar()
 
+    def number(start: int) -> Column:
+        return F.conv(F.substring("draw", start, 8), 16, 10).cast("long")
 
-def in_random_order(candidate_days: DataFrame, seed: int = fv.SEED) -> DataFrame:
-    digest = hash_order(
-        degrees_text(F.col("Longitude")), degrees_text(F.col("latitude")),
-        F.coalesce("Area", F.lit("")),
-        F.date_format("Date", "yyyyMMdd"), F.lit(str(seed)),
+    tried = F.sequence(F.lit(0), F.lit(attempts_per_positive(ratio, per_negative) - 1))
+    return (
+        positives.select("Observation ID", F.explode(tried).alias("__attempt"))
+        .filter(days >= 0)
+        .select(hash_order(F.col("Observation ID"), F.col("__attempt").cast("string"), F.lit(str(seed)))
+                .alias("draw"))
+        .withColumns({"__place": number(1) % count + 1, "__day": (number(9) % (days + 1)).cast("int")})
+        .join(numbered, "__place")
+        .select(*PLACE, "Area", plus_days(first, F.col("__day")).alias("Date"), "draw")
     )
-    return candidate_days.withColumn("draw", digest)
 
 
 def without_known_events(candidate_days: DataFrame, positives: DataFrame) -> DataFrame:
@@ -72,7 +88,7 @@ def without_known_events(candidate_days: DataFrame, positives: DataFrame) -> Dat
 
 
 def one_per_place_day(candidate_days: DataFrame) -> DataFrame:
-    """A place listed under two areas is drawn once per day, under the area drawn first."""
+    """Of draws of the same place and day, the first stays."""
     return first_per_key(candidate_days, [*PLACE, "Date"], ["draw"])
 
 
@@ -85,16 +101,22 @@ def attempts(
     positives: DataFrame, ratio: float = fv.NEGATIVE_RATIO, seed: int = fv.SEED,
     per_negative: int = fv.ATTEMPTS_PER_NEGATIVE,
 ) -> DataFrame:
-    """The candidates that get looked at: the first ``per_negative`` × target in random order,
-    less known events and repeats. Nothing here touches weather."""
-    drawn = first_by_hash(
-        in_random_order(candidates(positives), seed),
-        "draw",
-        target_count(positives, ratio, per_negative),
-    )
+    """The draws that get looked at: less known events and repeats. Nothing here touches weather."""
+    drawn = draws(positives, ratio, seed, per_negative)
     return one_per_place_day(without_known_events(drawn, positives))
 
 
+def outcome(
+    positives: DataFrame, made: DataFrame, ratio: float = fv.NEGATIVE_RATIO,
+    per_negative: int = fv.ATTEMPTS_PER_NEGATIVE,
+) -> DataFrame:
+    """One row: how many negatives were wanted, how many places and days were tried, how many came of it."""
+    tried = F.count("*") * attempts_per_positive(ratio, per_negative)
+    return positives.agg(
+        F.floor(F.count("*") * F.lit(ratio)).cast("long").alias("wanted"), tried.cast("long").alias("tried")
+    ).withColumn("made", made.agg(F.count("*")).scalar())
+
+
 def number_negatives(chosen: DataFrame) -> DataFrame:
     """Sequential ids NEG_000000, … in the order drawn."""
     return position_by_hash(chosen, "draw", "__position").withColumn(
@@ -140,4 +162,4 @@ def training_table(positives: DataFrame, negative_rows: DataFrame) -> DataFrame:
 
 def shuffled(df: DataFrame, key: str, seed: int = fv.SEED) -> DataFrame:
     """A repeatable random row order, for a file that is read top to bottom."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key)
+    return df.orderBy(hash_order(F.col(f"`{key}`"), F.lit(str(seed))), f"`{key}`")

@@ -1,8 +1,8 @@
 """Exact quantiles of continuous columns without holding a column in one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here values are
-counted per distinct value, counts are summed per slice of the value range, and only the few slices
-that hold a wanted rank are looked into.
+counted per distinct value and stored in range order; a slice is a partition of that sort, which Spark cuts by
+sampling, so an outlier does not empty the others. Only the few slices that hold a wanted rank are looked into.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from firnline.operators.cleaning import quoted
-
-SLICES = 4096
+from firnline.session import stage
 
 
 def _long_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,16 +36,11 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
 
 
 def _quantiles_of(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    ranges = counts.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total")
-    )
-    # One row per column; the slice index grows with the value.
-    sliced = counts.join(F.broadcast(ranges.drop("total")), "feature").select(
-        "feature", "value", "n",
-        F.when(F.col("hi") > F.col("lo"),
-               F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SLICES))
-        .otherwise(F.lit(0)).cast("int").alias("slice"),
+    sliced = stage(
+        counts.repartitionByRange("feature", "value").withColumn("slice", F.spark_partition_id()),
+        "value-counts",
     )
+    ranges = sliced.groupBy("feature").agg(F.sum("n").alias("total"))
     earlier = W.partitionBy("feature").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     slices = sliced.groupBy("feature", "slice").agg(F.sum("n").alias("held")).withColumn(
         "before", F.coalesce(F.sum("held").over(earlier), F.lit(0))

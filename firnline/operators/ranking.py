@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-HASH_DIGITS = 3  # 16**3 buckets
+# 16**4 buckets: their totals stay a few MB, and 10**12 rows put 15 million in each.
+HASH_DIGITS = 4
 
 
 def running_totals(

@@ -52,7 +52,7 @@ def to_cell(places: DataFrame, grid: Grid, rows: Column, cols: Column) -> DataFr
 
 
 def elevation_of(value: Column, grid: Grid) -> Column:
-    return F.when((value != grid.nodata) & (value >= fv.GRID_FLOOR), value)
+    return F.when((value != grid.nodata) & (value >= fv.GRID_FLOOR) & ~F.isnan(value), value)
 
 
 def tiled(cells: DataFrame, grid: Grid) -> DataFrame:
@@ -68,6 +68,7 @@ def tiled(cells: DataFrame, grid: Grid) -> DataFrame:
 
 def at_points(places: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Add the raw value of the cell each place lies in; null outside the grid."""
+    cells = measure.nans_to_null(cells)
     located = places.withColumns(
         {"row": grid.row(F.col("latitude")), "col": grid.col(F.col("Longitude"))}
     ).withColumns(
@@ -107,7 +108,7 @@ def windows(wanted: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     south = edge([(1, -1), (1, 0), (1, 1)]) - edge([(-1, -1), (-1, 0), (-1, 1)])
     whole = F.count(F.when(reading, F.lit(1))) == 9
     return (
-        spread.join(cells, CELL)
+        spread.join(measure.nans_to_null(cells), CELL)
         .groupBy("at_row", "at_col")
         .agg(
             at(0, 0).alias("centre"),

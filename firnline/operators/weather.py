@@ -26,7 +26,7 @@ def station_days(daily: DataFrame, allow_future: bool = True) -> DataFrame:
     absent; a left join on (station, day) gives nulls for them.
     """
     before, after = fv.CHANGE_DAYS_BEFORE, fv.READING_DAYS_AFTER
-    sent = daily.select(
+    sent = measure.nans_to_null(daily).select(
         "station_triplet",
         F.col("day").alias("read_on"),
         "depth_in", "swe_in", "temp_f",
@@ -85,6 +85,23 @@ def station_days(daily: DataFrame, allow_future: bool = True) -> DataFrame:
     )
 
 
+def needed_readings(daily: DataFrame, nearest: DataFrame, place_days: DataFrame) -> DataFrame:
+    """The daily readings that can matter to ``place_days``: of stations in ``nearest``, near the days asked for.
+
+    The days' range also bounds ``month`` when the table has that partition column, so other months are not read.
+    """
+    span = place_days.agg(
+        F.date_sub(F.min("day"), fv.CHANGE_DAYS_BEFORE).alias("first"),
+        F.date_add(F.max("day"), fv.READING_DAYS_AFTER).alias("last"),
+    )
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    kept = daily.filter((F.col("day") >= first) & (F.col("day") <= last))
+    if "month" in daily.columns:
+        kept = kept.filter((F.col("month") >= F.trunc(first, "month")) & (F.col("month") <= last)).drop("month")
+    stations = nearest.select(F.explode("stations.station_triplet").alias("station_triplet")).distinct()
+    return kept.join(stations, "station_triplet", "left_semi")
+
+
 def look_up(keys: DataFrame, daily: DataFrame, allow_future: bool = True) -> DataFrame:
     """Readings for each distinct (station_triplet, day) of ``keys``."""
     return keys.select(*STATION_DAY).distinct().join(
@@ -103,10 +120,11 @@ def look_up_counts(lookups: DataFrame) -> DataFrame:
 
 
 def inverse_distance_mean(value: Column, distance: Column, rank: Column, power: int = fv.IDW_POWER):
-    """Aggregate: mean of the non-null values weighted by 1 / distance ** power.
+    """Aggregate: mean of the values that are neither null nor NaN, weighted by 1 / distance ** power.
 
     A value at distance zero wins outright, the one of lowest rank if there are several.
     """
+    value = measure.nan_to_null(value)
     at_zero = value.isNotNull() & (distance == 0)
     weight = F.when((distance != 0) & value.isNotNull(), 1.0 / F.pow(distance, F.lit(power)))
     exact = F.min_by(value, F.when(at_zero, rank))
@@ -144,7 +162,13 @@ def weather_at(
     place_days: DataFrame, nearest: DataFrame, daily: DataFrame, allow_future: bool = True
 ) -> DataFrame:
     """Weather columns per distinct place and day, with the stations used."""
-    values = interpolate(place_days, nearest, station_days(daily, allow_future))
+    readings = station_days(needed_readings(daily, nearest, place_days), allow_future)
+    return with_weather(place_days, nearest, readings)
+
+
+def with_weather(place_days: DataFrame, nearest: DataFrame, readings: DataFrame) -> DataFrame:
+    """The same from ``readings``, the outcome of ``station_days``."""
+    values = interpolate(place_days, nearest, readings)
     return with_station_lists(values.join(nearest, PLACE)).withColumn(
         "wind_speed", F.lit(None).cast("double")
     )

@@ -12,7 +12,7 @@ from firnline import fixed_values as fv
 from firnline.operators import combine, negatives
 from firnline.operators.nearest import PLACE, nearest_stations
 from firnline.operators.terrain import Grid, terrain_at
-from firnline.operators.weather import weather_at
+from firnline.operators.weather import needed_readings, station_days, with_weather
 from firnline.session import stage
 
 
@@ -44,8 +44,17 @@ class FeatureBuild:
     def nearest(self) -> DataFrame:
         return stage(nearest_stations(self.places, self.stations), "nearest-stations")
 
+    @cached_property
+    def readings(self) -> DataFrame:
+        """What the stations in use say about the days of the reports; stored, since negatives fall on the same days."""
+        days = self.reports.select(F.to_date("Date").alias("day"))
+        return stage(
+            station_days(needed_readings(self.daily, self.nearest, days), self.allow_future), "readings"
+        )
+
     def weather(self, place_days: DataFrame) -> DataFrame:
-        return weather_at(place_days, self.nearest, self.daily, self.allow_future)
+        """Weather at places of the reports, on days from the first to the last of them."""
+        return with_weather(place_days, self.nearest, self.readings)
 
     @cached_property
     def report_weather(self) -> DataFrame:

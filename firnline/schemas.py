@@ -18,7 +18,7 @@ RAW_REPORTS = _table(
 )
 
 STATIONS = _table(
-    ("station_id", LONG), ("station_triplet", STRING), ("name", STRING),
+    ("station_id", STRING), ("station_triplet", STRING), ("name", STRING),
     ("latitude", DOUBLE), ("longitude", DOUBLE), ("elevation_ft", DOUBLE),
     ("elevation_m", DOUBLE), ("county", STRING), ("huc", STRING), ("active", BOOLEAN),
 )

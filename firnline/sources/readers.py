@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from firnline import fixed_values as fv
 from firnline import schemas
+from firnline.functions.measure import nans_to_null
 from firnline.functions.text import null_if_in
 from firnline.functions.time import to_time
 from firnline.operators.cleaning import quoted, stations_from_records
@@ -35,7 +36,7 @@ def csv(
             value = to_time(value)
         return value.cast(field.dataType).alias(field.name)
 
-    return cells.select(*[typed(f) for f in schema])
+    return nans_to_null(cells.select(*[typed(f) for f in schema]))
 
 
 def stations_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -65,14 +66,14 @@ def station_daily(
         )
     if last is not None:
         table = table.filter((F.col("month") <= F.lit(last)) & (F.col("day") <= F.lit(last)))
-    return table.drop("month")
+    return nans_to_null(table.drop("month"))
 
 
 def elevation_grid(spark: SparkSession, path: str) -> DataFrame:
     """Elevation cells from a Parquet table partitioned by tile; a join on the tile prunes."""
     cells = spark.read.schema(schemas.ELEVATION_GRID).parquet(path)
-    return cells.select(*schemas.ELEVATION_GRID.names)  # partition columns are read last
+    return nans_to_null(cells.select(*schemas.ELEVATION_GRID.names))  # partition columns are read last
 
 
 def parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return nans_to_null(spark.read.schema(schema).parquet(path))

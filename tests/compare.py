@@ -28,7 +28,7 @@ def canonical(rows, columns) -> list[tuple]:
 
     def cell(v):
         if isinstance(v, float):
-            return None if math.isnan(v) else (0.0 if v == 0 else v)
+            return "NaN" if math.isnan(v) else (0.0 if v == 0 else v)
         return v
 
     return sorted(

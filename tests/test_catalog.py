@@ -6,6 +6,8 @@ from compare import database, difference
 from firnline.catalog import QUERIES, TWINS
 
 SMALL = "/root/testdata/sf0.001"
+# Queries with nothing to return on so few rows.
+EMPTY_WHEN_SMALL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def test_twin(spark, db, name):
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                  "ArrowEvalPython", "MapInPandas"):
         assert slow not in plan, slow
-    assert difference(result, db, TWINS[name]) in (None, "no rows")
+    found = difference(result, db, TWINS[name])
+    assert found is None or (found == "no rows" and name in EMPTY_WHEN_SMALL)
 
 
 def test_every_twin_has_a_query():

@@ -17,9 +17,9 @@ def test_csv_missing_tokens(spark, tmp_path):
         "active\n7,7:CO:STN,\"Ab, c\",39.5,-105.5,NA,,null,010203,true\n"
         "8,N/A,None,NaN,-105,9000,2743.2,Grand,nan,false\n")
     rows = readers.csv(spark, str(path), schemas.STATIONS).collect()
-    assert tuple(rows[0]) == (7, "7:CO:STN", "Ab, c", 39.5, -105.5, None, None, None, "010203",
+    assert tuple(rows[0]) == ("7", "7:CO:STN", "Ab, c", 39.5, -105.5, None, None, None, "010203",
                               True)
-    assert tuple(rows[1]) == (8, None, None, None, -105.0, 9000.0, 2743.2, "Grand", None, False)
+    assert tuple(rows[1]) == ("8", None, None, None, -105.0, 9000.0, 2743.2, "Grand", None, False)
 
 
 def test_csv_bad_number_raises(spark, tmp_path):
@@ -41,8 +41,9 @@ def test_station_payload(spark, tmp_path):
     path = tmp_path / "payload.json"
     path.write_text(json.dumps(payload))
     rows = readers.stations_json(spark, str(path)).collect()
-    assert [r["name"] for r in rows] == ["Ace", "Mid", "Zed"]
-    assert [r["elevation_m"] for r in rows] == [pytest.approx(3048.0), None, None]
+    assert [r["name"] for r in rows] == ["Ace", "Mid", "Zed", "f"]
+    assert [r["elevation_m"] for r in rows] == [pytest.approx(3048.0), None, None, pytest.approx(3048.0)]
+    assert [r["station_id"] for r in rows] == ["1", "6", "2", "x"]
     assert rows[0]["active"] is True and rows[0]["huc"] == "0102"
 
 
