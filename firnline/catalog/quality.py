@@ -269,7 +269,7 @@ _LINE = """case when direction > 0 then '  🔺 ' else '  🔻 ' end
   || printf('%.2f', round_even(shap_value, 2)) || ']' || chr(10)"""
 
 
-@query("explain_text", f"""
+EXPLAIN_TEXT_SQL = f"""
   select p.id, chr(10) || case when prediction >= 0.5 then '🔴 **AVALANCHE RISK: HIGH DANGER ('
       when prediction >= 0.4::double then '🟡 **AVALANCHE RISK: MODERATE ('
       else '🟢 **AVALANCHE RISK: LOW/SAFE (' end
@@ -296,6 +296,9 @@ _LINE = """case when direction > 0 then '  🔺 ' else '  🔻 ' end
         order by abs(shap_value) desc, feature) as rank
       from v_contributions where shap_value <> 0)
       where rank <= 3)
-    group by id) l on l.id = p.id""")
+    group by id) l on l.id = p.id"""
+
+
+@query("explain_text", EXPLAIN_TEXT_SQL)
 def _(t: Tables):
     return explain.texts(t.contributions, t.predictions, "id", 0.5)

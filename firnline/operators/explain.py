@@ -10,10 +10,9 @@ nodes give it exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -26,8 +25,9 @@ from firnline.functions.text import fixed, signed, title_case
 from firnline.operators.ranking import smallest_per_key
 from firnline.session import stage
 
-# Leaves held by one broadcast: 8192 × 7 features × 3 numbers × 8 bytes = 1.4 MB.
+# Leaves and rows that meet in one group: 8192 × 7 features × 3 numbers × 8 bytes = 1.4 MB, and less.
 LEAVES_PER_BLOCK = 8192
+ROWS_PER_BATCH = 2048
 # Rows × leaves evaluated at once inside a task: about 40 MB per array of 7 features.
 _TILE_ROWS = 64
 _TILE_LEAVES = 1024
@@ -102,37 +102,29 @@ def leaves(nodes: DataFrame, depth: int) -> DataFrame:
     return reached.join(ends, ["tree", "id"])
 
 
-class _Block:
-    """Leaves as arrays; a few numbers per leaf and feature."""
-
-    def __init__(self, table: pa.Table, trees: int):
-        def matrix(name: str) -> np.ndarray:
-            return table[name].combine_chunks().flatten().to_numpy().reshape(-1, len(fv.FEATURES))
-
-        self.low, self.high, self.share = matrix("low"), matrix("high"), matrix("share")
-        self.value = table["value"].to_numpy() / trees
-
-
-def shapley(x: np.ndarray, block: _Block) -> np.ndarray:
-    """Shapley values of rows ``x`` summed over the leaves of a block."""
+def shapley(x: np.ndarray, low: np.ndarray, high: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Shapley values of rows ``x`` summed over leaves; a row of ``low``, ``high`` and ``share`` per leaf."""
     nodes, weights = np.polynomial.legendre.leggauss(4)
     nodes, weights = (nodes + 1.0) / 2.0, weights / 2.0
     total = np.zeros_like(x)
-    features = range(x.shape[1])
-    for at in range(0, len(block.value), _TILE_LEAVES):
+    count = x.shape[1]
+    for at in range(0, len(value), _TILE_LEAVES):
         part = slice(at, at + _TILE_LEAVES)
-        low, high, share = block.low[part], block.high[part], block.share[part]
         for first in range(0, len(x), _TILE_ROWS):
             rows = slice(first, first + _TILE_ROWS)
             cell = x[rows, None, :]
-            holds = ((cell > low) & (cell <= high)).astype(float)
+            holds = ((cell > low[part]) & (cell <= high[part])).astype(float)
             inner = np.zeros_like(holds)
             for s, w in zip(nodes, weights):
-                mixed = (1.0 - s) * share + s * holds
-                for i in features:
-                    inner[:, :, i] += w * np.prod(np.delete(mixed, i, axis=2), axis=2)
-            gain = (holds - share) * inner
-            total[rows] += np.einsum("rli,l->ri", gain, block.value[part])
+                mixed = (1.0 - s) * share[part] + s * holds
+                # The product of all other features: those before times those after.
+                before = np.ones_like(mixed)
+                after = np.ones_like(mixed)
+                for i in range(1, count):
+                    before[:, :, i] = before[:, :, i - 1] * mixed[:, :, i - 1]
+                    after[:, :, -1 - i] = after[:, :, -i] * mixed[:, :, -i]
+                inner += w * before * after
+            total[rows] += np.einsum("rli,l->ri", (holds - share[part]) * inner, value[part])
     return total
 
 
@@ -143,39 +135,54 @@ def base_value(leaf_table: DataFrame, trees: int) -> DataFrame:
 
 
 def contributions(scored: DataFrame, leaf_table: DataFrame, trees: int, key: str) -> DataFrame:
-    """Long table (key, feature, value, shap_value) for rows with all features.
+    """Long table (key, feature, value, shap_value) for rows with all features; ``key`` is unique.
 
-    Leaves travel in blocks of a fixed size, each its own broadcast; the passes chain inside one
-    stage, so rows are not shuffled. A forest has at most trees × 2^depth leaves, whatever the
-    data size.
+    Both inputs should be stored. Rows are dealt into batches and leaves into blocks of bounded size; each batch
+    meets each block in a group of its own and the parts are summed per row, so neither the leaves nor the rows
+    have to fit in one place.
     """
-    spark = scored.sparkSession
-    # Spark ML keeps the whole forest on the driver already; its leaves are no larger.
-    held = leaf_table.select("low", "high", "share", "value").toArrow()
     columns = list(fv.FEATURES)
-    current = scored.select(
-        F.col(key), *columns,
-        F.array(*[F.lit(0.0) for _ in columns]).alias("shap"),
-    )
-    schema = current.schema
-    for at in range(0, held.num_rows, LEAVES_PER_BLOCK):
-        shared = spark.sparkContext.broadcast(_Block(held.slice(at, LEAVES_PER_BLOCK), trees))
+    shares = [f"__s{i}" for i in range(len(columns))]
+    blocks = max(1, math.ceil(leaf_table.count() / LEAVES_PER_BLOCK))
+    batches = max(1, math.ceil(scored.count() / ROWS_PER_BATCH))
 
-        def add(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                so_far = np.stack(batch["shap"].to_list()) if len(batch) else np.zeros((0, 7))
-                gained = shapley(batch[columns].to_numpy(float), shared.value)
-                yield batch.assign(shap=list(so_far + gained))
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
-        current = current.mapInPandas(add, schema)
+    rows = scored.select(
+        F.col(f"`{key}`").alias("__key"), *columns, F.pmod(F.xxhash64(f"`{key}`"), F.lit(batches)).cast("long").alias("__batch"),
+        every(blocks).alias("__block"),
+    )
+    held = leaf_table.select(
+        "low", "high", "share", (F.col("value") / trees).alias("leaf"),
+        F.pmod(F.xxhash64("tree", "id"), F.lit(blocks)).cast("long").alias("__block"), every(batches).alias("__batch"),
+    )
+
+    def gained(some: pa.Table, part: pa.Table) -> pa.Table:
+        def matrix(name: str) -> np.ndarray:
+            cells = part[name].combine_chunks().flatten()
+            return np.asarray(cells, dtype=float).reshape(-1, len(columns))
+
+        x = np.column_stack([np.asarray(some[c], dtype=float) for c in columns]) if some.num_rows else np.zeros((0, 7))
+        got = np.zeros_like(x)
+        if some.num_rows and part.num_rows:
+            got = shapley(x, matrix("low"), matrix("high"), matrix("share"), np.asarray(part["leaf"], dtype=float))
+        out = some.select(["__key", *columns])
+        for i, name in enumerate(shares):
+            out = out.append_column(name, pa.array(got[:, i]))
+        return out
+
+    kind = dict(rows.dtypes)["__key"]
+    schema = f"__key {kind}, " + ", ".join(f"{c} double" for c in [*columns, *shares])
+    parts = rows.groupBy("__batch", "__block").cogroup(held.groupBy("__batch", "__block")).applyInArrow(gained, schema)
+    current = parts.groupBy("__key", *columns).agg(*[F.sum(s).alias(s) for s in shares])
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
-                     F.col("shap")[i].alias("shap_value"))
-            for i, c in enumerate(columns)
+            F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(s).alias("shap_value"))
+            for c, s in zip(columns, shares)
         ]
     )
-    return current.select(key, F.inline(cells))
+    return current.select(F.col("__key").alias(key), F.inline(cells))
 
 
 def explain(model: PipelineModel, model_path: str, scored: DataFrame, key: str):
@@ -188,7 +195,8 @@ def explain(model: PipelineModel, model_path: str, scored: DataFrame, key: str):
     saved = f"{model_path}/stages/{len(model.stages) - 1}_*"
     table = stage(leaves(forest_nodes(saved, scored.sparkSession), depth), "leaves")
     base = base_value(table, forest.getNumTrees).scalar()
-    return contributions(scored, table, forest.getNumTrees, key).withColumn("base_value", base)
+    rows = stage(scored.select(f"`{key}`", *[F.col(c).cast("double").alias(c) for c in fv.FEATURES]), "explained")
+    return contributions(rows, table, forest.getNumTrees, key).withColumn("base_value", base)
 
 
 def with_impact(contribs: DataFrame) -> DataFrame:

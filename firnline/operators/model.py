@@ -20,6 +20,7 @@ from firnline import schemas
 from firnline.functions import measure
 from firnline.operators import split
 from firnline.operators.profile import balanced_weights
+from firnline.session import stage
 
 LABEL, SIZE = "avalanche_occurred", "avalanche_size"
 # Spark's deepest tree; stands for "no limit".
@@ -43,6 +44,11 @@ def forest(**settings) -> RandomForestClassifier:
     )
 
 
+def fit_rows(train: DataFrame, key: str, rows: int | None) -> DataFrame:
+    """At most ``rows`` labelled rows to fit on, the first in hash order; all without a bound."""
+    return train if rows is None else split.sample(train, key, rows)
+
+
 def train_classifier(train: DataFrame, **settings) -> PipelineModel:
     return Pipeline(stages=[_assembler(), forest(**settings)]).fit(train)
 
@@ -80,7 +86,8 @@ def tune(
     weighted = balanced_weights(split.folds(train, LABEL, key, folds), LABEL).withColumn(
         "even", F.lit(1.0)
     )
-    assembled = _assembler().transform(weighted)
+    # Stored: every fit of every fold reads it.
+    assembled = _assembler().transform(stage(weighted, "folds"))
     settings = grid_settings(grid)
     base = forest()
     maps = [
