@@ -6,7 +6,8 @@ wouldn't see (scripts, styles, heads, ``hidden``, ``display:none``, ``visibility
 blocks on lines of their own, paragraphs apart by a blank line, items behind a bullet or number, the cells of a
 table in aligned columns. Tree and rendering use explicit stacks, so depth is not limited.
 
-Cases: null and empty pages give the empty text; broken markup is read as far as it goes; text without tags comes back with its
+Cases: null and empty pages give the empty text; broken markup is read as far as it goes, a tag that never closes is
+dropped; text without tags comes back with its
 white space collapsed; repeated rows give repeated results; extra columns ride along.
 """
 
@@ -44,6 +45,7 @@ IMPLIED = {
 SCOPES = frozenset({"table", "td", "th", "caption"})
 ENDS_PARAGRAPH_SEARCH = BLOCK - {"p"} | {"button"}
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+UNFINISHED = re.compile(r"</?[A-Za-z]")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 #: Cells wider than this don't widen their column.
 WIDEST = 40
@@ -272,6 +274,8 @@ def render(root: Element, out: Writer, nested: int = 0) -> None:
 def visible_text(page: str) -> str:
     builder = TreeBuilder()
     builder.feed(page)
+    if UNFINISHED.match(builder.rawdata):
+        builder.rawdata = ""
     builder.close()
     out = Writer()
     render(builder.root, out)
