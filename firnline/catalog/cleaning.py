@@ -195,13 +195,17 @@ def _(t: Tables):
 
 
 @query("project_safety_band", """
-  select source_pos, case when r < 0.15 then '✓ Excellent (very safe)'
+  select station_triplet, case when r < 0.15 then '✓ Excellent (very safe)'
     when r < 0.25 then '✓ Good (safe)' when r < 0.35 then '⚠ Acceptable'
     else '✗ Too risky' end as rating
-  from (select k as source_pos, cast(k % 50 as double) / 100 as r from v_orders)""")
+  from (select station_triplet, cast(count(*) - count(depth_in) as double) / count(*) as r
+    from v_daily group by 1)""")
 def _(t: Tables):
-    rate = F.col("source_pos") % 50 / 100.0
-    return t.history.select("source_pos", measure.miss_rate_rating(rate).alias("rating"))
+    """How often a station's depth is missing, rated as misses are."""
+    rate = F.count_if(F.col("depth_in").isNull()) / F.count("*")
+    return t.daily.groupBy("station_triplet").agg(rate.alias("rate")).select(
+        "station_triplet", measure.miss_rate_rating(F.col("rate")).alias("rating")
+    )
 
 
 @query("project_risk_level", """

@@ -96,20 +96,24 @@ def _(t: Tables):
 
 
 @query("terrain_compass_bearing", """
-  select k as source_pos, case when a > 90 then 450 - a else 90 - a end as bearing
-  from (select k, cast(k % 721 as double) / 2 - 180 as a from v_orders)""")
+  select "Longitude", latitude, round(aspect_degrees, 6) as bearing from v_terrain_bearing
+  where angle is not null""")
 def _(t: Tables):
-    angle = F.col("source_pos") % 721 / 2.0 - 180.0
-    return t.history.select("source_pos", measure.bearing_of_angle(angle).alias("bearing"))
+    located = t.places.withColumns(
+        {"row": GRID.row(F.col("latitude")), "col": GRID.col(F.col("Longitude"))}
+    )
+    found = terrain.windows(located.select("row", "col").distinct(), t.landed_cells, GRID)
+    step = measure.cell_size_m(F.col("latitude"), GRID.dx) * 8.0
+    bearing = measure.bearing_of_gradient(F.col("east") / step, F.col("south") / step)
+    return located.join(found.filter(F.col("east").isNotNull()), ["row", "col"]).select(
+        *PLACE, r6(bearing).alias("bearing")
+    )
 
 
-@query("terrain_cardinal", f"""
-  select k as source_pos, case when b is not null then {compass('b')} end as name
-  from (select k, case when k % 50 <> 0 then cast(k % 3601 as double) / 10 end as b from v_orders)""")
+@query("terrain_cardinal", """
+  select "Longitude", latitude, aspect_cardinal as name from v_terrain""")
 def _(t: Tables):
-    k = F.col("source_pos")
-    bearing = F.when(k % 50 != 0, k % 3601 / 10.0)
-    return t.history.select("source_pos", measure.compass_name(bearing).alias("name"))
+    return t.build.terrain.select(*PLACE, measure.compass_name(F.col("aspect_degrees")).alias("name"))
 
 
 _HALF = "cast(0.25 as double)"

@@ -100,9 +100,8 @@ def _(t: Tables):
 @query("agg_scalar_stats", """
   select round(avg(avalanche_size), 6) as mean, median(avalanche_size) as median from v_history""")
 def _(t: Tables):
-    return rounded(t.history.agg(
-        F.avg("avalanche_size").alias("mean"), F.median("avalanche_size").alias("median")
-    ))
+    middle = quantiles.quantiles(t.history, ["avalanche_size"], [0.5]).select("quantile").scalar()
+    return rounded(t.history.agg(F.avg("avalanche_size").alias("mean")).withColumn("median", middle))
 
 
 _DESCRIBED = ["elevation", "slope", "avalanche_size", "snow_depth", "new_snow_24h", "swe", "temp"]

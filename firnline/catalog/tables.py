@@ -122,7 +122,7 @@ class Tables:
             F.when(status == "F", "N").when(status == "O", "U").when(k % 2 == 1, "AS")
             .alias("Trigger"),
         )
-        return stage(text, "raw-reports")
+        return stage(text.repartition(self.spark.sparkContext.defaultParallelism), "raw-reports")
 
     @cached_property
     def reports(self) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,13 +26,11 @@ def null_if_in(c: Column, tokens: list[str]) -> Column:
 
 
 def cell(c: Column, placeholders: list[str] = fv.PLACEHOLDERS) -> Column:
-    """Stripped text, null for a placeholder: ``null_if_in`` of ``strip`` in one step.
-
-    The test reads the raw text, so the text is stripped once wherever Spark puts this expression.
-    """
-    space = f"[{_SPACES}]*"
-    words = "|".join(map(re.escape, placeholders))
-    return F.when(~c.rlike(f"^{space}(?:{words}){space}$"), strip(c))
+    """Stripped text, null for a placeholder: ``null_if_in`` of ``strip`` in one step."""
+    value = strip(c)
+    for token in placeholders:
+        value = F.nullif(value, F.lit(token))
+    return value
 
 
 def to_number(c: Column) -> Column:

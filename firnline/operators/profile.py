@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from firnline import fixed_values as fv
 from firnline.operators.cleaning import in_box, quoted
 from firnline.operators.nearest import PLACE
+from firnline.operators.quantiles import quantiles_by
 
 
 def value_counts(df: DataFrame, column: str, with_null: bool = False) -> DataFrame:
@@ -62,13 +63,14 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def group_stats(df: DataFrame, group: str | Column, value: str) -> DataFrame:
-    """Mean, median and count per group, highest mean first.
-
-    ``median`` keeps one counter per distinct value of a group, so this is for values from a
-    short scale such as destructive size; ``describe`` handles continuous columns.
-    """
-    return df.groupBy(group).agg(
-        F.avg(value).alias("mean"), F.median(value).alias("median"), F.count(value).alias("count")
+    """Mean, median and count per group, highest mean first; null is a group."""
+    name = "__group"
+    grouped = df.select((quoted(group) if isinstance(group, str) else group).alias(name), quoted(value).alias("__v"))
+    plain = grouped.groupBy(name).agg(F.avg("__v").alias("mean"), F.count("__v").alias("count"))
+    middle = quantiles_by(grouped, name, "__v", [0.5]).select(F.col(name).alias("__at"), F.col("q0").alias("median"))
+    shown = group if isinstance(group, str) else "group"
+    return plain.join(middle, F.col(name).eqNullSafe(F.col("__at")), "left").select(
+        F.col(name).alias(shown), "mean", "median", "count"
     ).orderBy(F.desc("mean"))
 
 
@@ -204,12 +206,7 @@ def boxplot(df: DataFrame, group: str, value: str) -> DataFrame:
     tally = df.filter(quoted(value).isNotNull()).groupBy(group, value).agg(
         F.count("*").alias("n")
     )
-    box = tally.groupBy(group).agg(
-        F.expr(f"percentile(`{value}`, array(0.25D, 0.5D, 0.75D), n)").alias("q")
-    ).select(
-        group,
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
-    )
+    box = quantiles_by(tally, group, value, [0.25, 0.5, 0.75], weight="n").toDF(group, "q1", "median", "q3")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return tally.join(box, group).groupBy(group, "q1", "median", "q3").agg(
@@ -244,34 +241,59 @@ def scope_estimate(df: DataFrame, ts: str = "Date") -> DataFrame:
 
 
 def insights(df: DataFrame, ts: str = "Date") -> DataFrame:
-    """One row of headline facts; every part is a one-row aggregate used as a scalar."""
-    month = mode_of(df.select(F.month(ts).alias("v")), "v")
-    names = F.array(*[F.lit(m) for m in fv.MONTHS])
+    """One row of headline facts, from two passes: plain aggregates, and rows per value of each column.
+
+    The second counts (column, value) pairs, combined before they are shuffled; the number of its values and the most frequent one
+    (the smaller of equals) say the rest.
+    """
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def of(name: str, value: Column, numeric: bool) -> Column:
+        return F.struct(
+            F.lit(name).alias("name"), (value.cast("double") if numeric else number).alias("number"),
+            (text if numeric else value.cast("string")).alias("text"),
+        )
+
+    pairs = F.array(
+        of("month", F.month(ts), True), of("region", F.col("Area"), False), of("aspect", F.col("Aspect"), False),
+        of("size", F.col("avalanche_size"), True), of("day", F.unix_date(F.to_date(ts)), True),
+        of("year", F.year(ts), True),
+        of("place", F.concat_ws("|", *[quoted(c).cast("string") for c in PLACE]), False),
+    )
+    values = df.select(F.inline(pairs)).filter(F.coalesce(F.col("number").cast("string"), "text").isNotNull())
+    per_value = values.groupBy("name", "number", "text").agg(F.count("*").alias("n"))
+    best = per_value.groupBy("name").agg(
+        F.count("*").alias("values"),
+        F.min(F.struct((-F.col("n")).alias("less"), "number", "text")).alias("top"),
+    )
 
-    def top(column: str) -> tuple[Column, Column]:
-        best = mode_of(df, column)
-        return best.select(quoted(column)).scalar(), best.select("count").scalar()
+    def fact(name: str, what: str, kind: str) -> Column:
+        return F.max(F.when(F.col("name") == name, F.col(what))).cast(kind)
 
-    region, region_rows = top("Area")
-    aspect, aspect_rows = top("Aspect")
-    size, size_rows = top("avalanche_size")
+    names = F.array(*[F.lit(m) for m in fv.MONTHS])
+    facts = best.agg(
+        *[F.coalesce(fact(n, "values", "long"), F.lit(0)).alias(f"{n}_values") for n in ("day", "year", "place", "region")],
+        *[fact(n, "top.number", "double").alias(f"{n}_top") for n in ("month", "size")],
+        *[fact(n, "top.text", "string").alias(f"{n}_top") for n in ("region", "aspect")],
+        *[(-fact(n, "top.less", "long")).alias(f"{n}_rows") for n in ("month", "region", "aspect", "size")],
+    )
     total = F.count("*")
-    return df.agg(
+    plain = df.agg(
         total.alias("reports"),
-        F.count_distinct(F.to_date(ts)).alias("days"),
-        F.count_distinct(F.year(ts)).alias("years"),
-        F.count_distinct(*[quoted(c) for c in PLACE]).alias("places"),
-        F.count_distinct("Area").alias("regions"),
         F.avg("avalanche_size").alias("mean_size"),
         (F.count("Aspect") / total * 100.0).alias("aspect_percent"),
         (F.count("Type") / total * 100.0).alias("type_percent"),
         F.min(ts).alias("first"),
         F.max(ts).alias("last"),
-    ).select(
-        "*",
-        F.try_element_at(names, month.select("v").scalar()).alias("peak_month"),
-        month.select("count").scalar().alias("peak_month_reports"),
-        region.alias("peak_region"), region_rows.alias("peak_region_reports"),
-        aspect.alias("peak_aspect"), aspect_rows.alias("peak_aspect_reports"),
-        size.alias("peak_size"), size_rows.alias("peak_size_reports"),
+    )
+    # One row each: the facts come as one struct.
+    return plain.withColumn("__facts", facts.select(F.struct("*")).scalar()).select("*", "__facts.*").select(
+        "reports", F.col("day_values").alias("days"), F.col("year_values").alias("years"),
+        F.col("place_values").alias("places"), F.col("region_values").alias("regions"),
+        "mean_size", "aspect_percent", "type_percent", "first", "last",
+        F.try_element_at(names, F.col("month_top").cast("int")).alias("peak_month"),
+        F.col("month_rows").alias("peak_month_reports"),
+        F.col("region_top").alias("peak_region"), F.col("region_rows").alias("peak_region_reports"),
+        F.col("aspect_top").alias("peak_aspect"), F.col("aspect_rows").alias("peak_aspect_reports"),
+        F.col("size_top").alias("peak_size"), F.col("size_rows").alias("peak_size_reports"),
     )

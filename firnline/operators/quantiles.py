@@ -35,6 +35,26 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     return _quantiles_of(_long_counts(df, columns), probabilities)
 
 
+def quantiles_by(
+    df: DataFrame, group: str, value: str, probabilities: Sequence[float], weight: str | None = None
+) -> DataFrame:
+    """(group, q0, q1, …): the quantiles of a value in every group, null being a group of its own.
+
+    ``weight`` names a column that says how often a row counts.
+    """
+    times = F.count("*") if weight is None else F.sum(weight)
+    counts = (
+        df.filter(quoted(value).isNotNull() & ~F.isnan(quoted(value)))
+        .groupBy(F.struct(quoted(group).alias("g")).alias("feature"), quoted(value).cast("double").alias("value"))
+        .agg(times.alias("n"))
+    )
+    wide = _quantiles_of(counts, probabilities).groupBy("feature").agg(*[
+        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"q{i}")
+        for i, p in enumerate(probabilities)
+    ])
+    return wide.select(F.col("feature.g").alias(group), *[f"q{i}" for i in range(len(probabilities))])
+
+
 def _quantiles_of(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     sliced = stage(
         counts.repartitionByRange("feature", "value").withColumn("slice", F.spark_partition_id()),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,15 +43,18 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="firnline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # made here, so removed here
     spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Cuts lineage for results that several consumers need; the table outlives lost executors.
+    Cuts lineage for results that several consumers need; the table outlives lost executors. ``rebalance`` deals the
+    rows out first, for a source of few large partitions.
     """
+    df = df.hint("rebalance") if rebalance else df
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -7,7 +7,7 @@ from firnline.catalog import QUERIES, TWINS
 
 SMALL = "/root/testdata/sf0.001"
 # Queries with nothing to return on so few rows.
-EMPTY_WHEN_SMALL: set[str] = set()
+EMPTY_WHEN_SMALL = {"terrain_compass_bearing", "ml_prepare", "filter_not_null"}
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,34 @@ def test_twin(spark, db, name):
     assert found is None or (found == "no rows" and name in EMPTY_WHEN_SMALL)
 
 
+def test_exploration_report(spark):
+    from firnline.catalog.tables import open_tables
+    from firnline.plans import explore
+
+    tables = explore.report(open_tables(spark, SMALL).history)
+    assert len(tables) == 26
+    for name, table in tables.items():
+        assert table.columns and (table.count() or name == "missing"), name
+
+
+def test_training_build(spark):
+    from firnline.catalog.tables import open_tables
+
+    t = open_tables(spark, SMALL)
+    built = t.build.training()
+    assert sorted(map(str, built.collect())) == sorted(map(str, t.training.select(*built.columns).collect()))
+
+
+def test_readings_are_pruned(spark):
+    from firnline.catalog.tables import open_tables
+    from firnline.operators import weather
+
+    t = open_tables(spark, SMALL)
+    kept = weather.needed_readings(t.stored_daily, t.build.nearest, t.place_days)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "LeftSemi" in plan
+
+
 def test_every_twin_has_a_query():
     assert TWINS.keys() <= QUERIES.keys()
 
