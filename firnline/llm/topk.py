@@ -32,7 +32,7 @@ K = 20
 SCALE = 64
 SHARD_ROWS = 8_192
 BLOCK_ROWS = 512
-LEAF = 128
+LEAF = 256
 FOUND = "query_id long, query_key long, vec_id long, vec_key long, score long"
 
 
@@ -66,7 +66,6 @@ def tree_of(ids: np.ndarray, keys: np.ndarray, v: np.ndarray, k: int) -> dict:
     which = which.reshape(-1)
     by_point = np.argsort(which, kind="stable")
     first = np.searchsorted(which[by_point], np.arange(len(points) + 1))
-    members = [by_point[a: min(b, a + k + 1)] for a, b in zip(first[:-1], first[1:])]
     rows = np.arange(len(points))
     low, high, child, span = [], [], [], []
     todo = [(0, len(points), -1)]
@@ -83,7 +82,10 @@ def tree_of(ids: np.ndarray, keys: np.ndarray, v: np.ndarray, k: int) -> dict:
             middle = (b - a) // 2
             rows[a:b] = rows[a:b][np.argpartition(box[:, axis], middle)]
             todo += [(a, a + middle, node), (a + middle, b, node)]
-    return {"points": points[rows], "members": [(ids[members[r]], keys[members[r]]) for r in rows],
+    kept = np.minimum(first[1:] - first[:-1], k + 1)[rows]  # the members of each entry, in the order of rows
+    begin = np.concatenate([[0], np.cumsum(kept)])
+    at = by_point[np.repeat(first[:-1][rows] - begin[:-1], kept) + np.arange(begin[-1])]
+    return {"points": points[rows], "begin": begin, "ids": ids[at], "keys": keys[at],
             "low": np.array(low), "high": np.array(high), "child": np.array(child), "span": np.array(span)}
 
 
@@ -95,27 +97,36 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+def exact_kind(a: np.ndarray, b: np.ndarray) -> type:
+    """The number type in which products of their rows are exact: floating point where no sum can pass 2^53."""
+    most = lambda x: float(np.abs(x).max()) if x.size else 0.0
+    return np.float64 if most(a) * most(b) * max(1, a.shape[-1]) < 2.0 ** 53 else np.int64
+
+
 def search(tree: dict, query_id: int, query: np.ndarray, bounds: np.ndarray, k: int, floor: int | None) -> list[tuple]:
     """The best k (score, -vec_id, -vec_key) of one shard that are not below ``floor``."""
     best: list[tuple] = []  # a heap, worst first
-    heap = [(-int(bounds[0]), 0)]
+    bounds, child, span = bounds.tolist(), tree["child_list"], tree["span_list"]
+    begin, ids, keys = tree["begin"], tree["ids"], tree["keys"]
+    heap = [(-bounds[0], 0)]
     while heap:
         bound, node = heapq.heappop(heap)
         if floor is not None and -bound < floor or len(best) == k and -bound < best[0][0]:
             break
-        left, right = tree["child"][node]
+        left, right = child[node]
         if left >= 0:
-            heapq.heappush(heap, (-int(bounds[left]), int(left)))
-            heapq.heappush(heap, (-int(bounds[right]), int(right)))
+            heapq.heappush(heap, (-bounds[left], left))
+            heapq.heappush(heap, (-bounds[right], right))
             continue
-        a, b = tree["span"][node]
-        scores = product(tree["points"][a:b], query[None, :])[:, 0]
+        a, b = span[node]
+        scores = tree["points"][a:b] @ query
         least = max(x for x in (floor, best[0][0] if len(best) == k else None, -(1 << 63)) if x is not None)
         for at in np.flatnonzero(scores >= least).tolist():
             score = int(scores[at])
-            for vec_id, key in zip(*tree["members"][a + at]):
+            for m in range(begin[a + at], begin[a + at + 1]):
+                vec_id = int(ids[m])
                 if vec_id != query_id:
-                    entry = (score, -int(vec_id), -int(key))
+                    entry = (score, -vec_id, -int(keys[m]))
                     if len(best) < k:
                         heapq.heappush(best, entry)
                     elif entry > best[0]:
@@ -150,6 +161,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, scale: int = SCALE, s
                 low, high = (np.pad(tree[c], ((0, 0), (0, v.shape[1] - tree[c].shape[1]))) for c in ("low", "high"))
                 tree["points"] = np.pad(tree["points"], ((0, 0), (0, v.shape[1] - tree["points"].shape[1])))
                 bounds = product(np.maximum(v, 0), high) + product(np.minimum(v, 0), low)
+                kind = exact_kind(tree["points"], v)
+                tree["points"], v = tree["points"].astype(kind), v.astype(kind)
+                tree["child_list"], tree["span_list"] = tree["child"].tolist(), tree["span"].tolist()
                 for q, key, floor, query, bound in zip(left["vec_id"].to_pylist(), left["vec_key"].to_pylist(),
                                                        left["floor"].to_pylist(), v, bounds):
                     out += [(q, key, -e[1], -e[2], e[0]) for e in search(tree, q, query, bound, k, floor)]
