@@ -1,10 +1,11 @@
 """Quality classifier: hashed word n-gram logistic regression, trained by follow-the-regularised-leader.
 
-A text is split into words and runs of punctuation, case kept; uni- and bigrams are hashed to
-``1 << bits`` features with value log(1 + count), scaled to length one. Training takes at most about
-``fit_rows`` labelled rows (chosen by a hash of the id; the bound is this parameter), dealt to
-``shards`` tasks; each runs FTRL-proximal over its rows and the weights are averaged. Scoring is a sparse
-dot product per text, on the documents' own partitions; the weights are ``8 << bits`` bytes.
+A text is split into words and runs of punctuation, case kept. Uni- and bigrams are hashed to ``1 << bits`` features
+whose value is their share of the text; a word in capitals and a word that repeats the one before also
+count as a word of their own, so that shouting and stuttering are known from words never seen. Training takes at most
+about ``fit_rows`` labelled rows (chosen by a hash of the id; the bound is this parameter), dealt to tasks of about
+``shard_rows``; each runs FTRL-proximal over its rows and the weights are averaged. Scoring is a sparse dot
+product per text, on the documents' own partitions; the weights are ``8 << bits`` bytes.
 
 Cases: null and empty texts have no features and get the score of the bias; labels that are null are
 not learned from; an id labelled twice takes its lowest label; documents without a label, repeated rows
@@ -25,10 +26,11 @@ from firnline.llm.common import per_batch, text_of
 
 BITS = 18
 FIT_ROWS = 20_000
-SHARDS = 8
+SHARD_ROWS = 5_000
 EPOCHS = 3
 THRESHOLD = 0.3
 PARTS = re.compile(r"\w+|[^\w\s]+")
+SHOUTED, REPEATED = (np.uint64(zlib.crc32(name)) for name in (b"<capitals>", b"<same again>"))
 
 
 class Hashes(dict):
@@ -43,17 +45,20 @@ class Hashes(dict):
 
 def features(text: str | None, bits: int, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of the text's uni- and bigrams."""
-    h = np.fromiter(map(hashes.__getitem__, PARTS.findall(text or "")), dtype=np.uint64)
+    words = PARTS.findall(text or "")
+    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     if not len(h):
         return np.empty(0, dtype=np.int64), np.empty(0)
     pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    grams = np.concatenate([h * np.uint64(0x9E3779B97F4A7C15), pairs]) >> np.uint64(64 - bits)
+    shouted = np.full(sum(len(w) > 1 for w in filter(str.isupper, words)), SHOUTED)
+    repeated = np.full(np.count_nonzero(h[1:] == h[:-1]), REPEATED)
+    single = np.concatenate([h, shouted, repeated]) * np.uint64(0x9E3779B97F4A7C15)
+    grams = np.concatenate([single, pairs]) >> np.uint64(64 - bits)
     index, count = np.unique(grams.astype(np.int64), return_counts=True)
-    value = np.log1p(count)
-    return index, value / np.sqrt(value @ value)
+    return index, count / len(h)
 
 
-def follow_leader(examples, bits: int, epochs: int, alpha=0.5, beta=1.0, l1=1e-3, l2=1e-4) -> np.ndarray:
+def follow_leader(examples, bits: int, epochs: int, alpha=200.0, beta=1.0, l1=1e-4, l2=1e-4) -> np.ndarray:
     """Weights, the bias last, after FTRL-proximal over (label, indices, values)."""
     size = (1 << bits) + 1
     z, n, w = np.zeros(size), np.zeros(size), np.zeros(size)
@@ -70,11 +75,13 @@ def follow_leader(examples, bits: int, epochs: int, alpha=0.5, beta=1.0, l1=1e-3
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, bits: int = BITS, fit_rows: int = FIT_ROWS,
-        shards: int = SHARDS, epochs: int = EPOCHS) -> np.ndarray:
+        shard_rows: int = SHARD_ROWS, epochs: int = EPOCHS) -> np.ndarray:
     """Weights learned from ``labels`` (doc_id, ``label`` 0/1) and the texts of ``docs``."""
     known = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min(label).cast("int").alias("label")))
-    share = min(1.0, fit_rows / max(1, known.count()))
+    labelled = known.count()
+    share = min(1.0, fit_rows / max(1, labelled))
+    shards = max(1, -(-min(labelled, fit_rows) // shard_rows))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
     # The drawn rows are bounded by fit_rows, whatever the corpus: 12 bytes each.
     rows = (docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(drawn), "doc_id")
