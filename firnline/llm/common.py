@@ -36,7 +36,3 @@ def text_of(c: str | Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def count_where(df: DataFrame, condition: Column | None = None) -> int:
-    return (df if condition is None else df.filter(condition)).count()

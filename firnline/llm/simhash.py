@@ -38,7 +38,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE, BITS = 3, 2
 GROUP = 16_000
 #: Node pairs compared at once, which bounds the memory of a task.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 NO_ID = (1 << 63) - 1
 
 
