@@ -12,8 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-JVM session for tests and benchmarks; a cluster brings its own."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, shared: str | None = None
+) -> SparkSession:
+    """A single-JVM session for tests and benchmarks; a cluster brings its own.
+
+    ``shared`` is the folder for stored steps.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("firnline")
@@ -28,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if shared:
+        spark.conf.set(CHECKPOINT_DIR, shared)
     return spark
 
 

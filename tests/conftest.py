@@ -9,5 +9,5 @@ from firnline.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    return local_session(8, shuffle_partitions=4, shared=str(tmp_path_factory.mktemp("shared")))
