@@ -35,6 +35,8 @@ END = 0
 #: Rows of a class that one task ranks.
 RANKED = 50_000
 SPECIAL = "<|endoftext|>"
+#: Tokens gathered before a batch of pieces is written.
+HELD = 500_000
 PIECES = "uid long, doc_id long, piece int, start long, length int, ids array<int>"
 
 
@@ -45,12 +47,13 @@ def encoder(vocabulary: str):
     """
     cache = worker_cache()
     if vocabulary not in cache:
-        from tokenizers import Tokenizer
-
-        whole = Tokenizer.from_file(vocabulary)
-
         def plain(text: str) -> list[int]:
-            return whole.encode(text, add_special_tokens=False).ids
+            key = (vocabulary, "whole")
+            if key not in cache:  # read only where it is needed: it takes several times the memory
+                from tokenizers import Tokenizer
+
+                cache[key] = Tokenizer.from_file(vocabulary)
+            return cache[key].encode(text, add_special_tokens=False).ids
 
         try:
             import public_tokenizers
@@ -59,7 +62,7 @@ def encoder(vocabulary: str):
             with open(vocabulary.removesuffix(".json") + ".tiktoken", "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             fast = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                     special_tokens={SPECIAL: whole.token_to_id(SPECIAL)})
+                                     special_tokens={SPECIAL: len(ranks)})
             # Long runs of one kind of character can overflow the pattern's stack; they take the plain way.
             cache[vocabulary] = lambda t: fast.encode(t, allowed_special={SPECIAL}) if len(t) < 500_000 else plain(t)
         except (ImportError, OSError):
@@ -93,7 +96,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
                     rows.append((doc, k, a, ids[a:b]))
                 held += len(ids)
-                if held > 2_000_000:
+                if held > HELD:
                     yield batch(rows)
                     uid += len(rows)
                     rows, held = [], 0
