@@ -126,7 +126,17 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
             *[F.col(a).alias(f"k{a}") for a in axes],
             "n",
         )
-        frontier = _narrow(frontier, children, level, k)
+        if above is None:
+            # Every place looks at all of them: they travel as one array.
+            packed = children.agg(F.collect_list(F.struct("kcx", "kcy", "kcz", "n"))).scalar()
+            joined = frontier.select("*", F.inline(packed))
+        else:
+            joined = frontier.join(
+                children,
+                (F.col("cx") == F.col("pcx")) & (F.col("cy") == F.col("pcy"))
+                & (F.col("cz") == F.col("pcz")),
+            )
+        frontier = _narrow(joined, level, k)
         above = level
 
     candidates = (
@@ -149,13 +159,9 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
     return places.join(found, PLACE, "left")
 
 
-def _narrow(frontier: DataFrame, children: DataFrame, level: int, k: int) -> DataFrame:
+def _narrow(joined: DataFrame, level: int, k: int) -> DataFrame:
+    """Of the cubes ``joined`` to each place, those that can hold one of its k nearest."""
     edge = float(2.0**-level)
-    joined = frontier.join(
-        children,
-        (F.col("cx") == F.col("pcx")) & (F.col("cy") == F.col("pcy"))
-        & (F.col("cz") == F.col("pcz")),
-    )
     near, far = [], []
     for axis in "xyz":
         low = F.col(f"kc{axis}") * edge - 1.0

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_OWN_FOLDERS: dict[str, str] = {}  # by application, for local sessions without the setting
 
 
 def local_session(
@@ -19,7 +20,7 @@ def local_session(
 
     ``shared`` is the folder for stored steps.
     """
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("firnline")
         .config("spark.driver.memory", "16g")
@@ -30,11 +31,9 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Small tables with costly rows: keep all cores busy.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
-        .getOrCreate()
     )
+    spark = (builder.config(CHECKPOINT_DIR, shared) if shared else builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if shared:
-        spark.conf.set(CHECKPOINT_DIR, shared)
     return spark
 
 
@@ -49,9 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="firnline-")
+    application = spark.sparkContext.applicationId
+    if application in _OWN_FOLDERS:
+        return _OWN_FOLDERS[application]
+    folder = _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="firnline-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)  # made here, so removed here
-    spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
 
 

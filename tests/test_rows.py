@@ -142,18 +142,18 @@ def test_fan_out_gives_the_same_final_rows(spark):
 
 def positives(spark):
     random.seed(11)
-    rows = [(-106.0 - random.randint(0, 9) / 10, 39.0 + random.randint(0, 3) / 10,
+    rows = [(f"r{i}", -106.0 - random.randint(0, 9) / 10, 39.0 + random.randint(0, 3) / 10,
              random.choice(["A", "B"]),
              datetime.datetime(2024, 1, 1, 8) + datetime.timedelta(days=random.randint(0, 40)))
-            for _ in range(150)]
+            for i in range(150)]
     return spark.createDataFrame(
-        rows, "Longitude double, latitude double, Area string, Date timestamp_ntz")
+        rows, "`Observation ID` string, Longitude double, latitude double, Area string, Date timestamp_ntz")
 
 
 def test_attempts_meet_no_known_event(spark):
     known = positives(spark)
     tried = negatives.attempts(known, ratio=1.0, per_negative=3).collect()
-    events = {(round(r[0], 6), round(r[1], 6), r["Date"].date()) for r in known.collect()}
+    events = {(round(r["Longitude"], 6), round(r["latitude"], 6), r["Date"].date()) for r in known.collect()}
     days = [(r["Longitude"], r["latitude"], r["Date"]) for r in tried]
     assert tried and len(set(days)) == len(days)
     assert not {(round(a, 6), round(b, 6), d.date()) for a, b, d in days} & events
@@ -189,3 +189,54 @@ def test_histogram_closes_its_last_bin(spark):
     frame = spark.createDataFrame([(float(v),) for v in (0, 1, 2, 3, 10)], "v double")
     got = [r["count"] for r in profile.histogram(frame, "v", 5).orderBy("bin").collect()]
     assert got == list(np.histogram([0, 1, 2, 3, 10], 5)[0])
+
+
+def test_outliers_do_not_fill_one_slice(spark):
+    """One huge value, and many scores below a thousandth: slices follow the counts."""
+    from firnline.operators import evaluate, quantiles
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(100_000).select(
+            (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") / 1e9).alias("score"))
+        slices = evaluate.per_score(rows).groupBy("slice").count().collect()
+        assert len(slices) == 4 and max(r["count"] for r in slices) < 40_000
+        auc = evaluate.roc_auc(rows).first()["auc"]
+        assert abs(auc - 0.5) < 0.01
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    values = spark.range(1001).select(F.when(F.col("id") == 1000, 1e300).otherwise(F.col("id")).alias("v"))
+    got = {r["probability"]: r["quantile"] for r in quantiles.quantiles(values, ["v"], [0.25, 0.5, 1.0]).collect()}
+    assert got == {0.25: 250.0, 0.5: 500.0, 1.0: 1e300}
+
+
+def test_quantiles_per_group_keep_null(spark):
+    from firnline.operators import quantiles
+
+    frame = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, None), ("b", float("nan"))], "g string, v double")
+    got = {r["g"]: r["q0"] for r in quantiles.quantiles_by(frame, "g", "v", [0.5]).collect()}
+    assert got == {"a": 1.5, None: 5.0}
+
+
+def test_dates_in_other_forms(spark):
+    from firnline.functions.time import to_time
+
+    rows = ["2024-01-05 08:15:00", "1/5/2024 8:15", "1/5/2024", "01/05/2024 08:15:30 PM", "1/5/2024 12:01 am", "05.01.2024", None]
+    frame = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r[0] for r in frame.select(to_time(F.col("t"), strict=False, formats=["dd.MM.yyyy"])).collect()]
+    d = datetime.datetime
+    assert got == [d(2024, 1, 5, 8, 15), d(2024, 1, 5, 8, 15), d(2024, 1, 5), d(2024, 1, 5, 20, 15, 30), d(2024, 1, 5, 0, 1),
+                   d(2024, 1, 5), None]
+    bad = spark.createDataFrame([("13/45/2024 8:15",)], "t string")
+    assert bad.select(to_time(F.col("t"), strict=False)).first()[0] is None
+    with pytest.raises(Exception, match="not a date"):
+        bad.select(to_time(F.col("t"))).collect()
+
+
+def test_nan_is_missing(spark):
+    from firnline.operators import weather
+
+    rows = [("a", 1, 2.0, float("nan")), ("a", 2, 4.0, 10.0)]
+    frame = spark.createDataFrame(rows, "p string, rank int, km double, v double")
+    mean = weather.inverse_distance_mean(F.col("v"), F.col("km"), F.col("rank"))
+    assert frame.groupBy("p").agg(mean.alias("m")).first()["m"] == 10.0
