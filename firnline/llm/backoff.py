@@ -39,7 +39,7 @@ class Words(dict):
     """Hash of each word seen, forgotten when there are too many."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm.common import text_of
+from firnline.llm.common import bounded_batches, text_of
 
 OPEN, MIDDLE, CLOSE = b"### ", b": ", b"</turn>\n"
 ASSISTANT = "assistant"
@@ -86,6 +86,8 @@ def formatted(turns: DataFrame, assistant: str = ASSISTANT) -> DataFrame:
     kind = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()),
                       ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
+    bounded_batches(turns.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_id, open_bytes, open_chars, open_loss, started = None, [], 0, [], False
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firnline.llm.common import text_of, worker_cache
+from firnline.llm.common import bounded_batches, text_of, worker_cache
 from firnline.session import stage
 
 CAPACITY = 2048
@@ -72,6 +72,8 @@ def encoder(vocabulary: str):
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: a row number of its own (uid), its place in the document, and its ids. Stored once."""
+    bounded_batches(docs.sparkSession)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         uid = TaskContext.get().partitionId() << 40

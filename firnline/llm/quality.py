@@ -37,7 +37,7 @@ class Hashes(dict):
     """Hash of each word seen, forgotten when there are too many."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
         return h
