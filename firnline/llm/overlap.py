@@ -1,0 +1,170 @@
+"""Exact set similarity: all links between sets whose Jaccard similarity reaches a bound, by prefix filtering.
+
+Put the members of all sets in one order. Two sets of similarity ``t`` share a member among the first
+``n - ceil(t * n) + 1`` of each, n being the own size. So each set is posted under those members only, rare ones first by a
+bounded sample (any order is right, a good one keeps the buckets small), and sets that meet in a bucket are compared whole.
+
+Postings travel packed, by ranges of their keys. Buckets of one set, equal buckets and buckets whose sets are all linked
+already are done. In the others each pair of unlinked sets is compared, unless their sizes rule it out or the task has
+linked both on the way: links are thinned after the check, never before. Buckets above ``BLOCK`` sets are compared block
+against block, so a task holds at most two blocks.
+
+Empty sets are alike and meet under one key of their own.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from firnline.llm.backoff import packed, unpacked
+from firnline.llm.common import ROWS
+from firnline.session import stage
+
+PART_CHARS = 16_000_000
+#: Postings a task gathers before it sends them.
+GATHERED = 1_000_000
+SAMPLE, FREQUENT = 8_000, 65_536
+BLOCK = 512
+SHIFT = np.uint64(16)
+
+
+def least_shared(n: int, similarity: float) -> int:
+    """Of ``n`` members as many a set shares at least with any set that is alike."""
+    return math.ceil(similarity * n - 1e-9)
+
+
+def prefix(members: np.ndarray, similarity: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Members a set is posted under; ``counts`` are those of the sorted ``hashes`` that are frequent."""
+    if not len(members):
+        return np.zeros(1, dtype=np.uint64)
+    rank = np.zeros(len(members), dtype=np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, members), len(hashes) - 1)
+        rank = np.where(hashes[at] == members, counts[at], 0)
+    order = np.lexsort((members, rank))
+    return members[order[: len(members) - least_shared(len(members), similarity) + 1]].astype(np.int64).view(np.uint64)
+
+
+def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent members of a few sets (column ``set``), sorted, and their counts."""
+    rows = (sets.select(F.explode("set").alias("m")).groupBy("m").count().filter("count > 1")
+            .orderBy(F.desc("count"), "m").limit(FREQUENT).toArrow())
+    hashes, counts = rows["m"].to_numpy(), rows["count"].to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def shared_buckets(texts: DataFrame, members, similarity: float, order, parts: int) -> DataFrame:
+    """(bucket, size, key): buckets of two sets or more of (key, text); ``members`` makes a text's sorted array."""
+    bounds = np.array([k * (1 << 48) // parts for k in range(parts)], dtype=np.uint64)
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, owners, waiting = [], [], 0
+
+        def sent():
+            k, o = np.concatenate(keys) >> SHIFT, np.concatenate(owners)
+            by_key = np.argsort(k, kind="stable")
+            k, o = k[by_key], o[by_key]
+            cuts = np.append(np.searchsorted(k, bounds), len(k))
+            full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+            return pa.record_batch({
+                "part": pa.array(full, pa.int32()),
+                "keys": pa.array([packed(k[cuts[p]: cuts[p + 1]]) for p in full], pa.binary()),
+                "owners": pa.array([o[cuts[p]: cuts[p + 1]].tobytes() for p in full], pa.binary())})
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                for key, text in zip(rows.column("key").to_pylist(), rows.column("text").to_pylist()):
+                    mine = prefix(np.array(members(text), dtype=np.int64), similarity, *order)
+                    keys.append(mine)
+                    owners.append(np.full(len(mine), key, dtype=np.int64))
+                    waiting += len(mine)
+                if waiting >= GATHERED:
+                    yield sent()
+                    keys, owners, waiting = [], [], 0
+        if waiting:
+            yield sent()
+
+    def meet(rows: pa.Table) -> pa.Table:
+        keys = np.concatenate([unpacked(x) for x in rows["keys"].to_pylist()])
+        owners = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in rows["owners"].to_pylist()])
+        order = np.lexsort((owners, keys))
+        keys, owners = keys[order], owners[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])) if len(keys) else np.empty(0, bool)
+        keys, owners = keys[new], owners[new]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        size = np.diff(np.append(begin, len(keys)))
+        found = {}
+        for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist()):
+            found.setdefault(xxhash.xxh64_intdigest(owners[b: b + n].tobytes()), (b, n))
+        spans = list(found.values())
+        sizes = np.array([n for _, n in spans], dtype=np.int64)
+        return pa.table({
+            "bucket": pa.array(np.repeat(np.array(list(found), dtype=np.uint64).view(np.int64), sizes)),
+            "size": pa.array(np.repeat(sizes, sizes)),
+            "key": pa.array(np.concatenate([owners[b: b + n] for b, n in spans]) if spans else np.empty(0, np.int64))})
+
+    return (texts.select("key", "text").mapInArrow(post, "part int, keys binary, owners binary")
+            .groupBy("part").applyInArrow(meet, "bucket long, size long, key long").dropDuplicates(["bucket", "key"]))
+
+
+def still_open(buckets: DataFrame, owners: DataFrame) -> DataFrame:
+    """(bucket, size, key, owner): ``buckets`` whose sets are of more than one group; (key, owner) names the groups."""
+    named = stage(buckets.join(owners, "key", "left").select("bucket", "size", "key", F.coalesce("owner", "key").alias("owner")),
+                  "buckets")
+    mixed = (named.groupBy("bucket").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
+             .filter("low < high").select("bucket"))
+    return named.join(mixed, "bucket")
+
+
+def compared(opened: DataFrame, sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that join the groups of each bucket; ``sets`` are (key, set)."""
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    dealt = (opened.withColumn("blocks", blocks)
+             .withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                     "own", "key", "owner"))
+
+    def check(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        keys, side = rows["key"].to_pylist(), rows["own"].to_pylist()
+        members = [set(x.tolist()) for x in np.split(rows["set"].combine_chunks().flatten().to_numpy(),
+                                                     np.cumsum(rows["set"].combine_chunks().value_lengths().to_numpy())[:-1])]
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        owner = rows["owner"].to_pylist()
+        by_size = sorted(range(len(keys)), key=lambda k: (len(members[k]), keys[k]))
+        first, links = 0, []
+        for at, j in enumerate(by_size):
+            mine, n = members[j], len(members[j])
+            while len(members[by_size[first]]) < least_shared(n, similarity):
+                first += 1
+            for i in by_size[first: at]:
+                if low != high and side[i] == side[j]:
+                    continue
+                x, y = top(owner[i]), top(owner[j])
+                if x == y:
+                    continue
+                shared = len(mine & members[i])
+                whole = n + len(members[i]) - shared
+                if whole == 0 or shared >= similarity * whole:
+                    root[max(x, y)] = min(x, y)
+                    links.append((keys[i], keys[j]))
+        return pa.table({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+
+    return (dealt.join(sets, "key").groupBy("bucket", "low", "high").applyInArrow(check, "a long, b long"))

@@ -7,8 +7,9 @@ differing bits of their prefixes, and prunes a pair when they exceed the budget;
 
 The top ``depth`` levels are walked while the work is dealt out: a fingerprint is sent to every pair of top nodes
 within the budget that holds its own node, each pair of nodes is one group, and ``depth`` follows the number of
-fingerprints, so that a group stays near ``group`` entries. At most 64 * 63 / 2 + 64 distinct fingerprints lie within
-two bits of one, so links stay linear in the entries; each group returns a forest of them, never all pairs.
+fingerprints, so that a group stays near ``group`` entries if prefixes are even. Within two bits of one lie at most
+64 * 63 / 2 + 64 distinct fingerprints; at more bits nearly all pairs of a group of near copies are close. Pairs are
+therefore read in chunks and dropped: a task holds one chunk and a forest, and each group returns the forest.
 
 With ``segments`` above one the trie is walked once per rotation of the fingerprint: two fingerprints within ``bits``
 differ in at most ``bits // segments`` of one of the segments, so the top segment of some rotation has that budget.
@@ -31,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firnline.llm import overlap
 from firnline.llm.common import per_batch, text_of
 from firnline.session import stage
 
@@ -142,26 +144,34 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, top: int, to
 
 
 def forest(n: int, pairs, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs a spanning forest, closest pairs first."""
-    pairs = list(pairs)
-    i = np.concatenate([p[0] for p in pairs]) if pairs else np.empty(0, dtype=np.int64)
-    j = np.concatenate([p[1] for p in pairs]) if pairs else np.empty(0, dtype=np.int64)
-    order = np.argsort(np.bitwise_count(values[i] ^ values[j]), kind="stable")
-    root = list(range(n))
-
-    def top(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    """Of the pairs a spanning forest, at most n - 1 of them; of each chunk of pairs the closest come first.
 
-    kept = []
-    for p in order.tolist():
-        x, y = top(int(i[p])), top(int(j[p]))
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            kept.append(p)
-    return i[kept], j[kept]
+    Chunks are dropped as they are read: what is held is one chunk, the forest and each entry's root.
+    """
+    root = np.arange(n)
+    kept_i, kept_j = [], []
+    for i, j in pairs:
+        if not len(i):
+            continue
+        while True:  # roots of roots, until each entry names its own
+            above = root[root]
+            if np.array_equal(above, root):
+                break
+            root = above
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        order = np.argsort(np.bitwise_count(values[i] ^ values[j]), kind="stable")
+        for p, q in zip(i[order].tolist(), j[order].tolist()):
+            x, y = p, q
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            while root[y] != y:
+                root[y] = y = root[root[y]]
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                kept_i.append(p)
+                kept_j.append(q)
+    return np.array(kept_i, dtype=np.int64), np.array(kept_j, dtype=np.int64)
 
 
 def masks(width: int, budget: int) -> list[int]:
@@ -248,17 +258,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     return made.join(per_print, "print", "left").select("doc_id", "print", "component_id")
 
 
+def shingles_of(text: str, shingle: int) -> list[int]:
+    words = WORD.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+    k = min(shingle, len(words))
+    return sorted({xxhash.xxh64_intdigest(" ".join(words[i: i + k]).encode("utf-8", "surrogatepass"), 42) - (1 << 63)
+                   for i in range(len(words) - k + 1)}) if words else []
+
+
 def shingles(text: str | Column = "text", shingle: int = SHINGLE) -> Column:
     """Column: the distinct shingles of a text as sorted hashes."""
     def make():
         def act(texts: pa.Array) -> pa.Array:
-            out = []
-            for t in texts.to_pylist():
-                words = WORD.findall(t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-                k = min(shingle, len(words))
-                out.append(sorted({xxhash.xxh64_intdigest(" ".join(words[i: i + k]).encode("utf-8", "surrogatepass"), 42)
-                                   - (1 << 63) for i in range(len(words) - k + 1)}) if words else [])
-            return pa.array(out, pa.list_(pa.int64()))
+            return pa.array([shingles_of(t, shingle) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
         return act
 
@@ -268,10 +279,9 @@ def shingles(text: str | Column = "text", shingle: int = SHINGLE) -> Column:
 def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similarity: float) -> DataFrame:
     """``docs`` with one row of each group: the first by id, then text, of each group of near-duplicates.
 
-    Texts with equal fingerprints and words are one entry. Close fingerprints are candidates; a group's candidates
-    are a forest, closest pairs first. Each is checked on the exact sets of shingles, and only pairs at least
-    ``similarity`` alike (Jaccard) link. Wordless texts are alike. Different texts that share a fingerprint are
-    checked against the first of them.
+    Texts are alike from ``similarity`` on (Jaccard of the exact sets of shingles); wordless texts are alike. Equal texts
+    are one entry. A first round checks a forest of close fingerprints, and texts of one fingerprint against the first of
+    them, which links most of a group at little cost. All that it leaves open is found by ``overlap``, which misses no pair.
     """
     own = "__firnline_"
     keyed = docs.withColumns({own + "print": fingerprint("text", shingle), own + "text": F.xxhash64("text"),
@@ -288,19 +298,24 @@ def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similar
     same = (texts.join(heads.select("print", F.col("text_key").alias("left")), "print")
             .filter(F.col("text_key") != F.col("left")).select("left", F.col("text_key").alias("right")))
     pairs = stage(pairs.union(same).distinct(), "candidates")
-    needed = stage(pairs.select(F.col("left").alias("text_key")).union(pairs.select("right")).distinct()
-                   .join(texts.select("text_key", "id"), "text_key"), "needed")
-    # Only texts of candidates are read again, one row per text.
-    bodies = (keyed.select(F.col(own + "text").alias("text_key"), F.col(own + "id").alias("id"), "text")
-              .join(small(needed), ["text_key", "id"])
-              .dropDuplicates(["text_key"]))
-    sets = stage(bodies.select("text_key", shingles("text", shingle).alias("set")), "shingles")
+    sets = sets_of(keyed, texts, pairs.select(F.col("left").alias("text_key")).union(pairs.select("right")), shingle)
     both = (pairs.join(sets.toDF("left", "left_set"), "left").join(sets.toDF("right", "right_set"), "right"))
     shared = F.size(F.array_intersect("left_set", "right_set"))
     whole = F.size("left_set") + F.size("right_set") - shared
     alike = stage(both.filter((whole == 0) | (shared >= similarity * whole))
                   .select(F.col("left").alias("a"), F.col("right").alias("b")), "alike")
     nodes = texts.select(F.col("text_key").alias("print"), F.col("id").alias("label"))
+    first = components(alike, nodes).select(F.col("print").alias("key"), F.col("owner"))
+    # Then whatever the first round has not linked: exact, by shared rare shingles.
+    sizes = keyed.agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
+    every = -(-sizes["n"] // overlap.SAMPLE) or 1
+    order = overlap.frequent(keyed.filter(F.pmod(own + "text", F.lit(every)) == 0).select(shingles("text", shingle).alias("set")))
+    buckets = overlap.shared_buckets(keyed.select(F.col(own + "text").alias("key"), text_of("text").alias("text")),
+                                     lambda t: shingles_of(t, shingle), similarity, order,
+                                     -(-(sizes["chars"] or 0) // overlap.PART_CHARS) or 1)
+    opened = stage(overlap.still_open(buckets, first), "open")
+    sets = sets_of(keyed, texts, opened.select(F.col("key").alias("text_key")), shingle).toDF("key", "set")
+    alike = alike.union(stage(overlap.compared(opened, sets, similarity), "alike"))
     found = components(alike, nodes).select(F.col("print").alias("text_key"), "owner")
     # Only texts that are repeated or linked decide anything: for each the id that stays, or none.
     marks = stage(texts.join(found, "text_key", "left").filter((F.col("rows") > 1) | F.col("owner").isNotNull())
@@ -313,6 +328,15 @@ def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similar
     return free.unionByName(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def sets_of(keyed: DataFrame, texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(text_key, set), stored: the shingles of the wanted texts. Only those are read again, one row per text."""
+    needed = stage(wanted.distinct().join(texts.select("text_key", "id"), "text_key"), "needed")
+    bodies = (keyed.select(F.col("__firnline_text").alias("text_key"), F.col("__firnline_id").alias("id"), "text")
+              .join(small(needed), ["text_key", "id"])
+              .dropDuplicates(["text_key"]))
+    return stage(bodies.select("text_key", shingles("text", shingle).alias("set")), "shingles")
+
+
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """``df`` (a stored table of a few numbers a row), broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df

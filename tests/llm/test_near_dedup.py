@@ -1,0 +1,100 @@
+"""The pipeline's near-duplicates against all pairs and union-find."""
+
+import random
+
+import corpus_pipeline as pipeline
+from firnline.llm import overlap, simhash
+
+
+def shingle_set(text, n=5):
+    words = text.lower().split()
+    return {tuple(words[i: i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def plain_kept(rows, similarity=0.8):
+    """The ids that stay: the smallest of each group that pairs of similar texts link."""
+    sets, root = [(i, shingle_set(t or "")) for i, t in rows], {i: i for i, _ in rows}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if jaccard(a, b) >= similarity and top(i) != top(j):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    return {i for i in root if top(i) == i}
+
+
+def edited(rng, words, n):
+    """``words`` with ``n`` of them changed, at scattered places."""
+    out = list(words)
+    for k in rng.sample(range(len(words)), n):
+        out[k] = f"e{rng.random()}"
+    return out
+
+
+def corpus(seed, texts=60):
+    rng = random.Random(seed)
+    rows = []
+    for t in range(texts):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(150, 300))]
+        rows.append(words)
+        for n in (1, 2, 3, 4, 5, 6):  # similarities around 0.97 ... 0.75
+            rows.append(edited(rng, words, n))
+    template = [f"t{k}" for k in range(60)]
+    rows += [template + [f"x{rng.random()}" for _ in range(40)] for _ in range(30)]
+    rows += [[], ["one"], ["One"], ["one", "two"]]
+    rng.shuffle(rows)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_copies_of_every_similarity(documents):
+    rows = corpus(5)
+    got = {r.doc_id for r in pipeline.near_dedup(None, documents(rows), "").collect()}
+    assert got == plain_kept(rows)
+
+
+def test_a_forest_of_candidates_loses_no_link(documents):
+    # Without any bits to find candidates by, and with prints of one value, every link is left to the second round.
+    rows = corpus(6, 15)
+    got = {r.doc_id for r in simhash.one_of_each(documents(rows), 5, 0, 1, 0.8).collect()}
+    assert got == plain_kept(rows)
+
+
+def test_failed_pairs_between_alike_texts(documents):
+    # A and B are alike, and C is close to both in bits but alike to neither.
+    rng = random.Random(7)
+    rows = []
+    for t in range(40):
+        base = [f"{t}v{rng.randrange(5000)}" for _ in range(200)]
+        rows += [base, edited(rng, base, 4), base + [f"c{t}{k % 7}" for k in range(70)], base[20:] + [f"d{t}{k}" for k in range(40)]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    assert {r.doc_id for r in pipeline.near_dedup(None, documents(rows), "").collect()} == plain_kept(rows)
+
+
+def test_buckets_in_blocks(spark):
+    rng = random.Random(8)
+    sets = [sorted(rng.sample(range(12), 9)) for _ in range(50)]
+    keyed = spark.createDataFrame(list(enumerate(sets)), "key long, set array<long>")
+    opened = keyed.selectExpr("1L as bucket", "50L as size", "key", "key as owner")
+    for block in (7, 100):
+        links = overlap.compared(opened, keyed, 0.6, block).collect()
+        root = {k: k for k in range(50)}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for r in links:
+            assert jaccard(set(sets[r.a]), set(sets[r.b])) >= 0.6
+            root[max(top(r.a), top(r.b))] = min(top(r.a), top(r.b))
+        for i in range(50):
+            for j in range(i):
+                assert jaccard(set(sets[i]), set(sets[j])) < 0.6 or top(i) == top(j)
