@@ -1,13 +1,15 @@
 """Exact set similarity: all links between sets whose Jaccard similarity reaches a bound, by prefix filtering.
 
 Put the members of all sets in one order. Two sets of similarity ``t`` share a member among the first
-``n - ceil(t * n) + 1`` of each, n being the own size. So each set is posted under those members only, rare ones first by a
-bounded sample (any order is right, a good one keeps the buckets small), and sets that meet in a bucket are compared whole.
+``n - ceil(t * n) + 1`` of each, n being the own size, and at least ``k`` members if both prefixes are ``k - 1`` longer. So
+each set is posted under those members only, rare ones first by a bounded sample (any order is right, a good one keeps the
+buckets small). ``k`` is 1 + n / 20, so that sets with one passage in common seldom have enough; the others are compared whole.
 
 Postings travel packed, by ranges of their keys. Buckets of one set, equal buckets and buckets whose sets are all linked
-already are done. In the others each pair of unlinked sets is compared, unless their sizes rule it out or the task has
-linked both on the way: links are thinned after the check, never before. Buckets above ``BLOCK`` sets are compared block
-against block, so a task holds at most two blocks.
+already are done. Of the others the small ones name their unlinked pairs, and pairs that meet often enough are compared. In
+those above ``SMALL`` sets each pair of unlinked sets is compared, unless their sizes rule it out or the task has linked both
+on the way: links are thinned after the check, never before. Buckets above ``BLOCK`` sets are compared block against
+block, so a task holds at most two blocks. Texts travel to the comparison, which are shorter than their sets.
 
 Empty sets are alike and meet under one key of their own.
 """
@@ -31,8 +33,7 @@ PART_CHARS = 16_000_000
 #: Postings a task gathers before it sends them.
 GATHERED = 1_000_000
 SAMPLE, FREQUENT = 8_000, 65_536
-BLOCK = 512
-SHIFT = np.uint64(16)
+BLOCK, SMALL = 512, 64
 
 
 def least_shared(n: int, similarity: float) -> int:
@@ -40,6 +41,11 @@ def least_shared(n: int, similarity: float) -> int:
     return math.ceil(similarity * n - 1e-9)
 
 
+def least_met(n: int) -> int:
+    """Of how many buckets a set of ``n`` members and one alike have in common at least, for the smaller of both numbers."""
+    return 1 + min(254, n // 20)
+
+
 def prefix(members: np.ndarray, similarity: float, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Members a set is posted under; ``counts`` are those of the sorted ``hashes`` that are frequent."""
     if not len(members):
@@ -49,7 +55,7 @@ def prefix(members: np.ndarray, similarity: float, hashes: np.ndarray, counts: n
         at = np.minimum(np.searchsorted(hashes, members), len(hashes) - 1)
         rank = np.where(hashes[at] == members, counts[at], 0)
     order = np.lexsort((members, rank))
-    return members[order[: len(members) - least_shared(len(members), similarity) + 1]].astype(np.int64).view(np.uint64)
+    return members[order[: len(members) - least_shared(len(members), similarity) + least_met(len(members))]].astype(np.int64).view(np.uint64)
 
 
 def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -62,71 +68,101 @@ def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shared_buckets(texts: DataFrame, members, similarity: float, order, parts: int) -> DataFrame:
-    """(bucket, size, key): buckets of two sets or more of (key, text); ``members`` makes a text's sorted array."""
-    bounds = np.array([k * (1 << 48) // parts for k in range(parts)], dtype=np.uint64)
+    """(bucket, key, size, least, times): equal buckets, of which there are ``times``, of two sets or more of (key, text).
+
+    ``members`` makes a text's sorted members; ``least`` is the set's ``least_met``.
+    """
+    bounds = np.array([k * (1 << 64) // parts for k in range(parts)], dtype=np.uint64)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, waiting = [], [], 0
+        keys, owners, least, waiting = [], [], [], 0
 
         def sent():
-            k, o = np.concatenate(keys) >> SHIFT, np.concatenate(owners)
+            k, o, m = np.concatenate(keys), np.concatenate(owners), np.concatenate(least)
             by_key = np.argsort(k, kind="stable")
-            k, o = k[by_key], o[by_key]
+            k, o, m = k[by_key], o[by_key], m[by_key]
             cuts = np.append(np.searchsorted(k, bounds), len(k))
             full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
             return pa.record_batch({
                 "part": pa.array(full, pa.int32()),
                 "keys": pa.array([packed(k[cuts[p]: cuts[p + 1]]) for p in full], pa.binary()),
-                "owners": pa.array([o[cuts[p]: cuts[p + 1]].tobytes() for p in full], pa.binary())})
+                "owners": pa.array([o[cuts[p]: cuts[p + 1]].tobytes() for p in full], pa.binary()),
+                "least": pa.array([m[cuts[p]: cuts[p + 1]].tobytes() for p in full], pa.binary())})
 
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
                 for key, text in zip(rows.column("key").to_pylist(), rows.column("text").to_pylist()):
-                    mine = prefix(np.array(members(text), dtype=np.int64), similarity, *order)
+                    whole = np.array(members(text), dtype=np.int64)
+                    mine = prefix(whole, similarity, *order)
+                    least.append(np.full(len(mine), least_met(len(whole)), dtype=np.uint8))
                     keys.append(mine)
                     owners.append(np.full(len(mine), key, dtype=np.int64))
                     waiting += len(mine)
                 if waiting >= GATHERED:
                     yield sent()
-                    keys, owners, waiting = [], [], 0
+                    keys, owners, least, waiting = [], [], [], 0
         if waiting:
             yield sent()
 
     def meet(rows: pa.Table) -> pa.Table:
         keys = np.concatenate([unpacked(x) for x in rows["keys"].to_pylist()])
         owners = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in rows["owners"].to_pylist()])
+        least = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in rows["least"].to_pylist()])
         order = np.lexsort((owners, keys))
-        keys, owners = keys[order], owners[order]
-        new = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])) if len(keys) else np.empty(0, bool)
-        keys, owners = keys[new], owners[new]
-        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        keys, owners, least = keys[order], owners[order], least[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]))
+        keys, owners, least = keys[new], owners[new], least[new]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         size = np.diff(np.append(begin, len(keys)))
-        found = {}
+        found, times = {}, {}
         for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist()):
-            found.setdefault(xxhash.xxh64_intdigest(owners[b: b + n].tobytes()), (b, n))
-        spans = list(found.values())
-        sizes = np.array([n for _, n in spans], dtype=np.int64)
+            name = xxhash.xxh64_intdigest(owners[b: b + n].tobytes())
+            found[name] = (b, n)
+            times[name] = times.get(name, 0) + 1
+        sizes = np.array([n for _, n in found.values()], dtype=np.int64)
+        at = np.concatenate([np.arange(b, b + n) for b, n in found.values()]) if found else np.empty(0, np.int64)
         return pa.table({
             "bucket": pa.array(np.repeat(np.array(list(found), dtype=np.uint64).view(np.int64), sizes)),
-            "size": pa.array(np.repeat(sizes, sizes)),
-            "key": pa.array(np.concatenate([owners[b: b + n] for b, n in spans]) if spans else np.empty(0, np.int64))})
+            "key": pa.array(owners[at]), "size": pa.array(np.repeat(sizes, sizes)),
+            "least": pa.array(least[at].astype(np.int64)),
+            "times": pa.array(np.repeat(np.array(list(times.values()), dtype=np.int64), sizes))})
 
-    return (texts.select("key", "text").mapInArrow(post, "part int, keys binary, owners binary")
-            .groupBy("part").applyInArrow(meet, "bucket long, size long, key long").dropDuplicates(["bucket", "key"]))
+    return (texts.select("key", "text").mapInArrow(post, "part int, keys binary, owners binary, least binary")
+            .groupBy("part").applyInArrow(meet, "bucket long, key long, size long, least long, times long")
+            .groupBy("bucket", "key").agg(F.max("size").alias("size"), F.max("least").alias("least"), F.sum("times").alias("times")))
 
 
 def still_open(buckets: DataFrame, owners: DataFrame) -> DataFrame:
-    """(bucket, size, key, owner): ``buckets`` whose sets are of more than one group; (key, owner) names the groups."""
-    named = stage(buckets.join(owners, "key", "left").select("bucket", "size", "key", F.coalesce("owner", "key").alias("owner")),
-                  "buckets")
+    """``buckets`` with ``owner``, those whose sets are of more than one group; (key, owner) names the groups."""
+    named = stage(buckets.join(owners, "key", "left").withColumn("owner", F.coalesce("owner", "key")), "buckets")
     mixed = (named.groupBy("bucket").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
              .filter("low < high").select("bucket"))
     return named.join(mixed, "bucket")
 
 
-def compared(opened: DataFrame, sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """(a, b): links that join the groups of each bucket; ``sets`` are (key, set)."""
+def to_compare(opened: DataFrame, most: int = SMALL) -> DataFrame:
+    """(bucket, size, key, owner): large buckets as they are, and of the small ones the pairs that meet often enough."""
+    def pairs(rows: pa.Table) -> pa.Table:
+        key, owner, least, times = (rows[c].to_numpy() for c in ("key", "owner", "least", "times"))
+        i, j = np.nonzero((key[:, None] < key[None, :]) & (owner[:, None] != owner[None, :]))
+        return pa.table({"a": key[i], "b": key[j], "owner_a": owner[i], "owner_b": owner[j],
+                         "least": np.minimum(least[i], least[j]), "times": times[i]})
+
+    met = (opened.filter(F.col("size") <= most).groupBy("bucket")
+           .applyInArrow(pairs, "a long, b long, owner_a long, owner_b long, least long, times long")
+           .groupBy("a", "b").agg(F.max("owner_a").alias("owner_a"), F.max("owner_b").alias("owner_b"),
+                                  F.max("least").alias("least"), F.sum("times").alias("times")))
+    # A pair may also meet in large buckets; there it is compared anyway.
+    often = met.filter(F.col("times") >= F.col("least"))
+    sides = F.explode(F.array(*[F.struct(F.col(x).alias("key"), F.col(f"owner_{x}").alias("owner")) for x in ("a", "b")]))
+    paired = often.select(F.xxhash64("a", "b").alias("bucket"), F.lit(2).cast("long").alias("size"), sides.alias("s"))
+    return (paired.select("bucket", "size", "s.key", "s.owner")
+            .union(opened.filter(F.col("size") > most).select("bucket", "size", "key", "owner")))
+
+
+def compared(opened: DataFrame, texts: DataFrame, members, similarity: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that join the groups of each bucket; ``texts`` are (key, text)."""
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
     dealt = (opened.withColumn("blocks", blocks)
              .withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
@@ -137,8 +173,7 @@ def compared(opened: DataFrame, sets: DataFrame, similarity: float, block: int =
     def check(rows: pa.Table) -> pa.Table:
         low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
         keys, side = rows["key"].to_pylist(), rows["own"].to_pylist()
-        members = [set(x.tolist()) for x in np.split(rows["set"].combine_chunks().flatten().to_numpy(),
-                                                     np.cumsum(rows["set"].combine_chunks().value_lengths().to_numpy())[:-1])]
+        sets = [set(members(t.as_py())) for t in rows["text"]]
         root = {}
 
         def top(x):
@@ -148,11 +183,11 @@ def compared(opened: DataFrame, sets: DataFrame, similarity: float, block: int =
             return x
 
         owner = rows["owner"].to_pylist()
-        by_size = sorted(range(len(keys)), key=lambda k: (len(members[k]), keys[k]))
+        by_size = sorted(range(len(keys)), key=lambda k: (len(sets[k]), keys[k]))
         first, links = 0, []
         for at, j in enumerate(by_size):
-            mine, n = members[j], len(members[j])
-            while len(members[by_size[first]]) < least_shared(n, similarity):
+            mine, n = sets[j], len(sets[j])
+            while len(sets[by_size[first]]) < least_shared(n, similarity):
                 first += 1
             for i in by_size[first: at]:
                 if low != high and side[i] == side[j]:
@@ -160,11 +195,11 @@ def compared(opened: DataFrame, sets: DataFrame, similarity: float, block: int =
                 x, y = top(owner[i]), top(owner[j])
                 if x == y:
                     continue
-                shared = len(mine & members[i])
-                whole = n + len(members[i]) - shared
+                shared = len(mine & sets[i])
+                whole = n + len(sets[i]) - shared
                 if whole == 0 or shared >= similarity * whole:
                     root[max(x, y)] = min(x, y)
                     links.append((keys[i], keys[j]))
         return pa.table({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
 
-    return (dealt.join(sets, "key").groupBy("bucket", "low", "high").applyInArrow(check, "a long, b long"))
+    return (dealt.join(texts, "key").groupBy("bucket", "low", "high").applyInArrow(check, "a long, b long"))

@@ -286,10 +286,11 @@ def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similar
     own = "__firnline_"
     keyed = docs.withColumns({own + "print": fingerprint("text", shingle), own + "text": F.xxhash64("text"),
                               own + "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))})
-    keyed = stage(keyed, "keyed")
+    keyed = stage(keyed.withColumn(own + "row", F.monotonically_increasing_id()), "keyed")
     # One row of equal texts stays: the smallest id, of rows equal in that too the first of any.
-    texts = stage(keyed.groupBy(own + "print", own + "text").agg(F.min(own + "id").alias("id"), F.count("*").alias("rows"))
-                  .toDF("print", "text_key", "id", "rows"), "texts")
+    texts = stage(keyed.groupBy(own + "print", own + "text").agg(F.min(F.struct(own + "id", own + "row")).alias("first"), F.count("*").alias("rows"))
+                  .select(F.col(own + "print").alias("print"), F.col(own + "text").alias("text_key"),
+                          F.col(f"first.{own}id").alias("id"), F.col(f"first.{own}row").alias("row"), "rows"), "texts")
     prints = stage(texts.groupBy("print").agg(F.min(F.struct("id", "text_key")).alias("first")), "prints")
     close = links(prints.select("print"), bits, segments)
     heads = prints.select("print", F.col("first.text_key").alias("text_key"), F.col("first.id").alias("id"))
@@ -298,12 +299,12 @@ def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similar
     same = (texts.join(heads.select("print", F.col("text_key").alias("left")), "print")
             .filter(F.col("text_key") != F.col("left")).select("left", F.col("text_key").alias("right")))
     pairs = stage(pairs.union(same).distinct(), "candidates")
-    sets = sets_of(keyed, texts, pairs.select(F.col("left").alias("text_key")).union(pairs.select("right")), shingle)
-    both = (pairs.join(sets.toDF("left", "left_set"), "left").join(sets.toDF("right", "right_set"), "right"))
-    shared = F.size(F.array_intersect("left_set", "right_set"))
-    whole = F.size("left_set") + F.size("right_set") - shared
-    alike = stage(both.filter((whole == 0) | (shared >= similarity * whole))
-                  .select(F.col("left").alias("a"), F.col("right").alias("b")), "alike")
+    def of(text: str) -> list[int]:
+        return shingles_of(text, shingle)
+
+    sides = F.explode(F.array("left", "right")).alias("key")
+    pairs = pairs.select(F.xxhash64("left", "right").alias("bucket"), F.lit(2).alias("size"), sides).withColumn("owner", F.col("key"))
+    alike = stage(overlap.compared(pairs, bodies(keyed, texts, pairs), of, similarity), "alike")
     nodes = texts.select(F.col("text_key").alias("print"), F.col("id").alias("label"))
     first = components(alike, nodes).select(F.col("print").alias("key"), F.col("owner"))
     # Then whatever the first round has not linked: exact, by shared rare shingles.
@@ -311,30 +312,27 @@ def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similar
     every = -(-sizes["n"] // overlap.SAMPLE) or 1
     order = overlap.frequent(keyed.filter(F.pmod(own + "text", F.lit(every)) == 0).select(shingles("text", shingle).alias("set")))
     buckets = overlap.shared_buckets(keyed.select(F.col(own + "text").alias("key"), text_of("text").alias("text")),
-                                     lambda t: shingles_of(t, shingle), similarity, order,
+                                     of, similarity, order,
                                      -(-(sizes["chars"] or 0) // overlap.PART_CHARS) or 1)
-    opened = stage(overlap.still_open(buckets, first), "open")
-    sets = sets_of(keyed, texts, opened.select(F.col("key").alias("text_key")), shingle).toDF("key", "set")
-    alike = alike.union(stage(overlap.compared(opened, sets, similarity), "alike"))
+    opened = stage(overlap.to_compare(stage(overlap.still_open(buckets, first), "open")), "compare")
+    alike = alike.union(stage(overlap.compared(opened, bodies(keyed, texts, opened), of, similarity), "alike"))
     found = components(alike, nodes).select(F.col("print").alias("text_key"), "owner")
-    # Only texts that are repeated or linked decide anything: for each the id that stays, or none.
+    # Only texts that are repeated or linked decide anything: for each the row that stays, or none.
     marks = stage(texts.join(found, "text_key", "left").filter((F.col("rows") > 1) | F.col("owner").isNotNull())
                   .select(F.col("text_key").alias(own + "text"), F.lit(True).alias(own + "marked"),
-                          F.when(F.coalesce("owner", "text_key") == F.col("text_key"), F.col("id")).alias(own + "keep")),
+                          F.when(F.coalesce("owner", "text_key") == F.col("text_key"), F.col("row")).alias(own + "keep")),
                   "marks")
     joined = keyed.join(small(marks), own + "text", "left")
     free = joined.filter(F.col(own + "marked").isNull())
-    kept = joined.filter(F.col(own + "keep") == F.col(own + "id")).dropDuplicates([own + "text", own + "id"])
+    kept = joined.filter(F.col(own + "keep") == F.col(own + "row"))
     return free.unionByName(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def sets_of(keyed: DataFrame, texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(text_key, set), stored: the shingles of the wanted texts. Only those are read again, one row per text."""
-    needed = stage(wanted.distinct().join(texts.select("text_key", "id"), "text_key"), "needed")
-    bodies = (keyed.select(F.col("__firnline_text").alias("text_key"), F.col("__firnline_id").alias("id"), "text")
-              .join(small(needed), ["text_key", "id"])
-              .dropDuplicates(["text_key"]))
-    return stage(bodies.select("text_key", shingles("text", shingle).alias("set")), "shingles")
+def bodies(keyed: DataFrame, texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text): the wanted texts, one row each."""
+    needed = stage(wanted.select(F.col("key").alias("text_key")).distinct().join(texts, "text_key")
+                   .select(F.col("text_key").alias("key"), F.col("row").alias("__firnline_row")), "needed")
+    return keyed.select("__firnline_row", text_of("text").alias("text")).join(small(needed), "__firnline_row").select("key", "text")
 
 
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:

@@ -81,10 +81,10 @@ def test_failed_pairs_between_alike_texts(documents):
 def test_buckets_in_blocks(spark):
     rng = random.Random(8)
     sets = [sorted(rng.sample(range(12), 9)) for _ in range(50)]
-    keyed = spark.createDataFrame(list(enumerate(sets)), "key long, set array<long>")
+    keyed = spark.createDataFrame([(k, " ".join(map(str, x))) for k, x in enumerate(sets)], "key long, text string")
     opened = keyed.selectExpr("1L as bucket", "50L as size", "key", "key as owner")
     for block in (7, 100):
-        links = overlap.compared(opened, keyed, 0.6, block).collect()
+        links = overlap.compared(opened, keyed, lambda t: [int(x) for x in t.split()], 0.6, block).collect()
         root = {k: k for k in range(50)}
 
         def top(x):
