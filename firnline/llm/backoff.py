@@ -7,8 +7,8 @@ counts, so that a text isn't likely just because it was counted; unseen n-grams
 The relations are held in packed form: an n-gram is a 64-bit hash, and what is shuffled are sorted arrays of distinct
 hashes with their counts, not a row per n-gram. Documents are dealt into batches by a hash. Each batch explodes its
 n-grams and sends, for each hash range, its distinct ones with their counts: so a frequent n-gram is one entry per
-batch. A range adds up its entries, which makes it one partition of the count table, and joins the totals to the entries that
-asked. Each batch then sums the logarithms per document. Batches and ranges follow the corpus and stay near ``batch_chars``.
+batch. A range adds up its entries, which makes it one partition of the count table, and answers each
+batch with what the others counted, mostly nothing. Each batch then sums the logarithms per document. Batches and ranges follow the corpus and stay near ``batch_chars``.
 
 Cases: null and wordless texts have no words and score 0; repeated rows are documents of their own; an empty table
 gives an empty result; null ids are carried; other columns are not read.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from firnline.llm.common import text_of
 from firnline.session import stage
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 BATCH_CHARS = 8_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -69,12 +69,20 @@ def unpacked(data: bytes) -> np.ndarray:
                      dtype=np.uint64)
 
 
-def packed_counts(counts: np.ndarray) -> bytes:
-    return counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed_counts(counts: np.ndarray, usual: int) -> bytes:
+    """Counts of which most are ``usual``: their number, a bit for each that isn't, and those as numbers of eight bytes."""
+    other = counts != usual
+    return (np.array([len(counts)], "<u8").tobytes() + np.packbits(other).tobytes()
+            + counts[other].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def unpacked_counts(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1).astype(np.int64)
+def unpacked_counts(data: bytes, usual: int) -> np.ndarray:
+    n = int(np.frombuffer(data, "<u8", 1)[0])
+    upto = 8 + (n + 7) // 8
+    counts = np.full(n, usual, dtype=np.int64)
+    counts[np.unpackbits(np.frombuffer(data[8:upto], np.uint8), count=n).astype(bool)] = np.ascontiguousarray(
+        np.frombuffer(data[upto:], np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+    return counts
 
 
 def scored(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars: int = BATCH_CHARS) -> DataFrame:
@@ -99,30 +107,32 @@ def scored(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_char
         return pa.table({
             "part": pa.array(parts, pa.int32()), "batch": pa.array([group["batch"][0].as_py()] * len(parts), pa.int32()),
             "keys": pa.array([packed(keys[cuts[k]: cuts[k + 1]]) for k in parts], pa.binary()),
-            "counts": pa.array([packed_counts(counts[cuts[k]: cuts[k + 1]]) for k in parts], pa.binary())})
+            "counts": pa.array([packed_counts(counts[cuts[k]: cuts[k + 1]], 1) for k in parts], pa.binary())})
 
     def answer(group: pa.Table) -> pa.Table:
         asked = [unpacked(x) for x in group["keys"].to_pylist()]
-        counts = np.concatenate([unpacked_counts(x) for x in group["counts"].to_pylist()])
+        counts = np.concatenate([unpacked_counts(x, 1) for x in group["counts"].to_pylist()])
         keys, at = np.unique(np.concatenate(asked), return_inverse=True)
         totals = np.zeros(len(keys), dtype=np.int64)
         np.add.at(totals, at, counts)
         ends = np.cumsum([len(x) for x in asked])
         return pa.table({
             "part": group["part"], "batch": group["batch"],
-            "totals": pa.array([packed_counts(totals[at[b - len(x): b]]) for x, b in zip(asked, ends)], pa.binary())})
+            "others": pa.array([packed_counts((totals[at] - counts)[b - len(x): b], 0) for x, b in zip(asked, ends)],
+                               pa.binary())})
 
     def score(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows:
             return pa.table({n: pa.array([], t) for n, t in (("doc_id", pa.int64()), ("n_words", pa.int64()),
                                                              ("log_part", pa.float64()), ("n_single", pa.int64()))})
         per_doc, all_grams = exploded(group)
-        keys, at = np.unique(all_grams, return_inverse=True)
+        keys, at, own_counts = np.unique(all_grams, return_inverse=True, return_counts=True)
         answers = answers.sort_by("part")
-        totals = (np.concatenate([unpacked_counts(x) for x in answers["totals"].to_pylist()])
+        totals = (np.concatenate([unpacked_counts(x, 0) for x in answers["others"].to_pylist()])
                   if answers.num_rows else np.empty(0, np.int64))
         if len(totals) != len(keys):
             raise ValueError(f"{len(totals)} counts for {len(keys)} n-grams")
+        totals = totals + own_counts
         out, begin = [], 0
         for doc in per_doc:
             n = len(doc[0])
@@ -150,7 +160,7 @@ def scored(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_char
                          "log_part": pa.array(part, pa.float64()), "n_single": pa.array(single, pa.int64())})
 
     answers = (dealt.groupBy("batch").applyInArrow(ask, "part int, batch int, keys binary, counts binary")
-               .groupBy("part").applyInArrow(answer, "part int, batch int, totals binary"))
+               .groupBy("part").applyInArrow(answer, "part int, batch int, others binary"))
     parts = stage(dealt.groupBy("batch").cogroup(answers.groupBy("batch"))
                   .applyInArrow(score, "doc_id long, n_words long, log_part double, n_single long"), "scored")
     total = parts.agg(F.sum("n_words").alias("n")).first()["n"] or 0
