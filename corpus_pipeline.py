@@ -15,8 +15,8 @@ from firnline.llm import decontaminate, lines, packing, quality, simhash
 from firnline.llm.common import table
 from firnline.session import stage
 
-#: Near-duplicates: shingles of five words, at least this similar (Jaccard). A pair that similar differs in about
-#: ten of 64 bits; eleven bits in four segments finds most of them, and each found pair is then checked exactly.
+#: Near-duplicates: shingles of five words, at least this similar (Jaccard). Pairs within
+#: eleven bits in four segments are only tried first; an exact join finds the others.
 SHINGLE, SIMILARITY, BITS, SEGMENTS = 5, 0.8, 11, 4
 OWN = "__firnline_"
 
