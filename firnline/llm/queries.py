@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import backoff, chat, decontaminate, html, lines, packing, personal, quality, simhash, topk
+from firnline.llm import (backoff, chat, decontaminate, html, language, lexical, lines, packing, personal, quality, simhash,
+                          topk, whitening)
 from firnline.llm.common import per_batch, table, text_of
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -188,6 +189,53 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url", html.rendered().alias("text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight strongest components, whitened."""
+    made = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    # Beyond 64 bits the exact sum has no place in a long: null there, whole in the operator's own column.
+    return made.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    net = language.fit(docs.filter(~language.held_out()))
+    told = docs.select("doc_id", language.held_out().alias("held_out"), language.predicted(docs, net).alias("told"))
+    return told.select("doc_id", "held_out", F.col("told.lang").alias("lang_pred"), F.col("told.score").alias("score"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+with docs as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+facts as (select cast(count(*) filter (len(terms) > 0) as bigint) as rows, cast(sum(len(terms)) as bigint) as total from docs),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark where item_id is not null),
+counted as (
+  select r, term, count(*) as tf from (select r, unnest(terms) as term from docs)
+  where term in (select term from asked) group by r, term),
+weighted as (
+  select term, cast(floor(1000 * ln(cast(2 * rows + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from counted, facts group by term, rows),
+scored as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms) * rows) // total))))
+    as bigint) as score
+  from asked join weighted using (term) join counted using (term) join docs using (r), facts
+  where doc_id is not null group by item_id, r, doc_id),
+placed as (select *, row_number() over (partition by item_id order by score desc, doc_id) as place from scored where score > 0)
+select item_id, cast(place as integer) as rank, doc_id, score from placed where place <= 10
+"""
+
+
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_topk, op3_personal, op4_lines, op5_backoff, op6_packing,
-                                   op7_chat, op8_simhash, op9_quality, op10_html)}
-SQL = {"op1_decontaminate": OP1_SQL, "op2_topk": OP2_SQL, "op4_lines": OP4_SQL}
+                                   op7_chat, op8_simhash, op9_quality, op10_html, op11_whitening, op12_language,
+                                   op13_lexical)}
+SQL = {"op1_decontaminate": OP1_SQL, "op2_topk": OP2_SQL, "op4_lines": OP4_SQL, "op13_lexical": OP13_SQL}
