@@ -15,9 +15,8 @@ from firnline.llm import decontaminate, lines, packing, quality, simhash
 from firnline.llm.common import table
 from firnline.session import stage
 
-#: Near-duplicates: shingles of five words, at least this similar (Jaccard). Pairs within
-#: eleven bits in four segments are only tried first; an exact join finds the others.
-SHINGLE, SIMILARITY, BITS, SEGMENTS = 5, 0.8, 11, 4
+#: Near-duplicates: fingerprints of three-word shingles, at most this many differing bits.
+SHINGLE, BITS = 3, 2
 OWN = "__firnline_"
 
 
@@ -37,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    return simhash.one_of_each(docs, SHINGLE, BITS, SEGMENTS, SIMILARITY)
+    """One document of each group that links of close fingerprints join, the one with the smallest id."""
+    return simhash.one_of_each(docs, SHINGLE, BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,15 +5,13 @@ Equal fingerprints are one entry, so groups of copies count once. The sorted dis
 trie: a node is a range that shares a prefix. The join walks node pairs together from the root, adds up the
 differing bits of their prefixes, and prunes a pair when they exceed the budget; small ranges are compared directly.
 
-The top ``depth`` levels are walked while the work is dealt out: a fingerprint is sent to every pair of top nodes
-within the budget that holds its own node, each pair of nodes is one group, and ``depth`` follows the number of
-fingerprints, so that a group stays near ``group`` entries if prefixes are even. Within two bits of one lie at most
+The top levels are walked while the work is dealt out: a fingerprint is sent to every pair of top nodes within the
+budget that holds its own node, and each pair of nodes is one group. The first cut follows the number of fingerprints;
+nodes that hold more than ``HOT`` times ``group`` of them are cut ``STEP`` levels deeper, with the pairs they are in, until
+none is left, so that a cluster under one prefix is no single group. Within two bits of one lie at most
 64 * 63 / 2 + 64 distinct fingerprints; at more bits nearly all pairs of a group of near copies are close. Pairs are
 therefore read in chunks and dropped: a task holds one chunk and a forest, and each group returns the forest.
 
-With ``segments`` above one the trie is walked once per rotation of the fingerprint: two fingerprints within ``bits``
-differ in at most ``bits // segments`` of one of the segments, so the top segment of some rotation has that budget.
-
 Components come from rounds of smallest neighbours and jumps over links of links, stored after each round.
 
 Cases: null and wordless texts have fingerprint zero and link with each other; fewer words than a shingle are one
@@ -32,7 +30,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm import overlap
 from firnline.llm.common import per_batch, text_of
 from firnline.session import stage
 
@@ -41,6 +38,8 @@ SHINGLE, BITS = 3, 2
 GROUP = 16_000
 #: Node pairs compared at once, which bounds the memory of a task.
 CHUNK = 1 << 18
+#: A node above HOT groups is cut this many levels deeper.
+HOT, STEP = 4, 6
 NO_ID = (1 << 63) - 1
 
 
@@ -80,14 +79,8 @@ def fingerprint_text(c: str) -> Column:
     return F.lpad(F.lower(F.hex(c)), 16, "0")
 
 
-def rotated(x: np.ndarray, left: int) -> np.ndarray:
-    if not left:
-        return x
-    return (x << np.uint64(left)) | (x >> np.uint64(64 - left))
-
-
-def trie_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, top: int, top_bits: int, leaf: int = 24):
-    """Index pairs (i, j) of the sorted arrays within ``bits``, and within ``top_bits`` on the first ``top`` bits.
+def trie_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, leaf: int = 24):
+    """Index pairs (i, j) of the sorted arrays within ``bits``.
 
     A breadth of node pairs is walked level by level: each side's range is cut where the next bit turns.
     Breadths beyond ``CHUNK`` pairs are walked in parts, one after the other.
@@ -115,8 +108,6 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, top: int, to
                 i, j = i[keep], j[keep]
             x = a[i] ^ b[j]
             keep = np.bitwise_count(x) <= bits
-            if top_bits < bits:
-                keep &= np.bitwise_count(x >> np.uint64(64 - top)) <= top_bits
             yield i[keep], j[keep]
         if not len(nodes):
             continue
@@ -129,14 +120,13 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, same: bool, bits: int, top: int, to
             return np.clip(np.searchsorted(values, mark), lo, hi)
 
         ca, cb = cut(a, nodes[:, 0], nodes[:, 1]), cut(b, nodes[:, 2], nodes[:, 3])
-        budget = top_bits if depth < top else bits
         children = []
         for left_a, left_b in ((1, 1), (0, 0), (1, 0), (0, 1)):
             child = np.column_stack([
                 nodes[:, 0] if left_a else ca, ca if left_a else nodes[:, 1],
                 nodes[:, 2] if left_b else cb, cb if left_b else nodes[:, 3],
                 nodes[:, 4] + (left_a != left_b)])
-            keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
+            keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= bits)
             if same:  # of a node with itself each pair of halves once
                 keep &= (child[:, 0] <= child[:, 2]) & (child[:, 0] < child[:, 3])
             children.append(child[keep])
@@ -181,41 +171,58 @@ def masks(width: int, budget: int) -> list[int]:
     return out
 
 
-def links(prints: DataFrame, bits: int = BITS, segments: int = 1, group: int = GROUP) -> DataFrame:
+def deeper(rows: DataFrame, depth: int, step: int, bits: int) -> DataFrame:
+    """(print, flip, own, node) at ``depth + step`` levels, from (print, flip) at ``depth``.
+
+    A pair of nodes is named by its lower prefix (node) and the bits flipped between the two; a fingerprint is in the
+    pair of its own node and that node flipped.
+    """
+    every = F.explode(F.array(*[F.lit(m).cast("long") for m in masks(step, min(step, bits))]))
+    own = F.shiftrightunsigned("print", 64 - depth - step) if depth + step else F.lit(0).cast("long")
+    return (rows.select("print", "flip", every.alias("mask"))
+            .filter(F.bit_count("flip") + F.bit_count("mask") <= bits)
+            .select("print", F.shiftleft("flip", step).bitwiseOR(F.col("mask")).alias("flip"), own.alias("own"))
+            .withColumn("node", F.least("own", F.col("own").bitwiseXOR(F.col("flip")))))
+
+
+def links(prints: DataFrame, bits: int = BITS, group: int = GROUP) -> DataFrame:
     """(a, b): links between distinct fingerprints (column ``print``) within ``bits``, a forest per group."""
-    count = prints.count()
-    top = 64 // segments
-    top_bits = bits // segments
-    depth = min(top, max(0, math.ceil(math.log2(max(1, count) / group))))
-    flips = masks(depth, min(top_bits, depth))
-
-    turned = [F.struct(F.lit(r).alias("turn"),
-                       (F.shiftleft("print", r * top).bitwiseOR(F.shiftrightunsigned("print", 64 - r * top))
-                        if r else F.col("print")).alias("turned")) for r in range(segments)]
-    sent = prints.select("print", F.explode(F.array(*turned)).alias("t")).select("t.turn", "t.turned")
-    if depth:
-        # The node pair is named by its lower prefix and the flipped bits; a fingerprint in the upper node joins it there.
-        prefix = F.shiftrightunsigned("turned", 64 - depth)
-        sent = (sent.select("turn", "turned", prefix.alias("own"), F.explode(F.array(*map(F.lit, flips))).alias("flip"))
-                .withColumn("node", F.least("own", F.col("own").bitwiseXOR(F.col("flip").cast("long")))))
-    else:
-        sent = sent.select("turn", "turned", F.lit(0).alias("flip"), F.lit(0).cast("long").alias("node"))
+    depth = min(64, max(0, math.ceil(math.log2(max(1, prints.count()) / group))))
+    rows = deeper(prints.select("print", F.lit(0).cast("long").alias("flip")), 0, depth, bits)
+    settled = []
+    while True:
+        # Every fingerprint of a node is in the pair of that node with itself, once.
+        hot = stage(rows.filter(F.col("flip") == 0).groupBy("own").agg(F.count("*").alias("n"))
+                    .filter(F.col("n") > HOT * group).select("own"), "hot")
+        if depth == 64 or hot.isEmpty():
+            settled.append(rows.withColumn("depth", F.lit(depth)))
+            break
+        marked = (rows.withColumn("other", F.col("own").bitwiseXOR(F.col("flip")))
+                  .join(hot.withColumn("here", F.lit(True)), "own", "left")
+                  .join(hot.select(F.col("own").alias("other"), F.lit(True).alias("there")), "other", "left"))
+        cool = F.col("here").isNull() & F.col("there").isNull()
+        settled.append(marked.filter(cool).select("print", "flip", "own", "node", F.lit(depth).alias("depth")))
+        step = min(STEP, 64 - depth)
+        rows = stage(deeper(marked.filter(~cool), depth, step, bits), "deeper")
+        depth += step
+    dealt = settled[0]
+    for part in settled[1:]:
+        dealt = dealt.unionByName(part)
 
     def join(rows: pa.Table) -> pa.Table:
-        turn, flip, node = (rows[c][0].as_py() for c in ("turn", "flip", "node"))
-        values = np.sort(rows["turned"].to_numpy().view(np.uint64))
+        flip, node, levels = (rows[c][0].as_py() for c in ("flip", "node", "depth"))
+        values = np.sort(rows["print"].to_numpy().view(np.uint64))
         if flip:
-            own = values >> np.uint64(64 - depth)
-            a, b = values[own == np.uint64(node)], values[own != np.uint64(node)]
+            here = values >> np.uint64(64 - levels) == np.uint64(node & (1 << 64) - 1)
+            a, b = values[here], values[~here]
             values = np.concatenate([a, b])
-            pairs = ((i, j + len(a)) for i, j in trie_pairs(a, b, False, bits, top, top_bits))
+            pairs = ((i, j + len(a)) for i, j in trie_pairs(a, b, False, bits))
         else:
-            pairs = trie_pairs(values, values, True, bits, top, top_bits)
+            pairs = trie_pairs(values, values, True, bits)
         i, j = forest(len(values), pairs, values)
-        back = rotated(values, (64 - turn * top) % 64)
-        return pa.table({"a": pa.array(back[i].view(np.int64)), "b": pa.array(back[j].view(np.int64))})
+        return pa.table({"a": pa.array(values[i].view(np.int64)), "b": pa.array(values[j].view(np.int64))})
 
-    return (sent.groupBy("turn", "flip", "node").applyInArrow(join, "a long, b long")
+    return (dealt.select("print", "flip", "node", "depth").groupBy("depth", "flip", "node").applyInArrow(join, "a long, b long")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
@@ -258,81 +265,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     return made.join(per_print, "print", "left").select("doc_id", "print", "component_id")
 
 
-def shingles_of(text: str, shingle: int) -> list[int]:
-    words = WORD.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-    k = min(shingle, len(words))
-    return sorted({xxhash.xxh64_intdigest(" ".join(words[i: i + k]).encode("utf-8", "surrogatepass"), 42) - (1 << 63)
-                   for i in range(len(words) - k + 1)}) if words else []
-
-
-def shingles(text: str | Column = "text", shingle: int = SHINGLE) -> Column:
-    """Column: the distinct shingles of a text as sorted hashes."""
-    def make():
-        def act(texts: pa.Array) -> pa.Array:
-            return pa.array([shingles_of(t, shingle) for t in texts.to_pylist()], pa.list_(pa.int64()))
-
-        return act
-
-    return per_batch(make, "array<long>")(text_of(text))
-
-
-def one_of_each(docs: DataFrame, shingle: int, bits: int, segments: int, similarity: float) -> DataFrame:
-    """``docs`` with one row of each group: the first by id, then text, of each group of near-duplicates.
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``: the smallest id, of rows equal in that any one.
 
-    Texts are alike from ``similarity`` on (Jaccard of the exact sets of shingles); wordless texts are alike. Equal texts
-    are one entry. A first round checks a forest of close fingerprints, and texts of one fingerprint against the first of
-    them, which links most of a group at little cost. All that it leaves open is found by ``overlap``, which misses no pair.
+    Rows with null ids come after all others.
     """
     own = "__firnline_"
-    keyed = docs.withColumns({own + "print": fingerprint("text", shingle), own + "text": F.xxhash64("text"),
-                              own + "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))})
-    keyed = stage(keyed.withColumn(own + "row", F.monotonically_increasing_id()), "keyed")
-    # One row of equal texts stays: the smallest id, of rows equal in that too the first of any.
-    texts = stage(keyed.groupBy(own + "print", own + "text").agg(F.min(F.struct(own + "id", own + "row")).alias("first"), F.count("*").alias("rows"))
-                  .select(F.col(own + "print").alias("print"), F.col(own + "text").alias("text_key"),
-                          F.col(f"first.{own}id").alias("id"), F.col(f"first.{own}row").alias("row"), "rows"), "texts")
-    prints = stage(texts.groupBy("print").agg(F.min(F.struct("id", "text_key")).alias("first")), "prints")
-    close = links(prints.select("print"), bits, segments)
-    heads = prints.select("print", F.col("first.text_key").alias("text_key"), F.col("first.id").alias("id"))
-    pairs = (close.distinct().join(heads.select(F.col("print").alias("a"), F.col("text_key").alias("left")), "a")
-             .join(heads.select(F.col("print").alias("b"), F.col("text_key").alias("right")), "b").select("left", "right"))
-    same = (texts.join(heads.select("print", F.col("text_key").alias("left")), "print")
-            .filter(F.col("text_key") != F.col("left")).select("left", F.col("text_key").alias("right")))
-    pairs = stage(pairs.union(same).distinct(), "candidates")
-    def of(text: str) -> list[int]:
-        return shingles_of(text, shingle)
-
-    sides = F.explode(F.array("left", "right")).alias("key")
-    pairs = pairs.select(F.xxhash64("left", "right").alias("bucket"), F.lit(2).alias("size"), sides).withColumn("owner", F.col("key"))
-    alike = stage(overlap.compared(pairs, bodies(keyed, texts, pairs), of, similarity), "alike")
-    nodes = texts.select(F.col("text_key").alias("print"), F.col("id").alias("label"))
-    first = components(alike, nodes).select(F.col("print").alias("key"), F.col("owner"))
-    # Then whatever the first round has not linked: exact, by shared rare shingles.
-    sizes = keyed.agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
-    every = -(-sizes["n"] // overlap.SAMPLE) or 1
-    order = overlap.frequent(keyed.filter(F.pmod(own + "text", F.lit(every)) == 0).select(shingles("text", shingle).alias("set")))
-    buckets = overlap.shared_buckets(keyed.select(F.col(own + "text").alias("key"), text_of("text").alias("text")),
-                                     of, similarity, order,
-                                     -(-(sizes["chars"] or 0) // overlap.PART_CHARS) or 1)
-    opened = stage(overlap.to_compare(stage(overlap.still_open(buckets, first), "open")), "compare")
-    alike = alike.union(stage(overlap.compared(opened, bodies(keyed, texts, opened), of, similarity), "alike"))
-    found = components(alike, nodes).select(F.col("print").alias("text_key"), "owner")
-    # Only texts that are repeated or linked decide anything: for each the row that stays, or none.
-    marks = stage(texts.join(found, "text_key", "left").filter((F.col("rows") > 1) | F.col("owner").isNotNull())
-                  .select(F.col("text_key").alias(own + "text"), F.lit(True).alias(own + "marked"),
-                          F.when(F.coalesce("owner", "text_key") == F.col("text_key"), F.col("row")).alias(own + "keep")),
-                  "marks")
-    joined = keyed.join(small(marks), own + "text", "left")
-    free = joined.filter(F.col(own + "marked").isNull())
-    kept = joined.filter(F.col(own + "keep") == F.col(own + "row"))
-    return free.unionByName(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def bodies(keyed: DataFrame, texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, text): the wanted texts, one row each."""
-    needed = stage(wanted.select(F.col("key").alias("text_key")).distinct().join(texts, "text_key")
-                   .select(F.col("text_key").alias("key"), F.col("row").alias("__firnline_row")), "needed")
-    return keyed.select("__firnline_row", text_of("text").alias("text")).join(small(needed), "__firnline_row").select("key", "text")
+    keyed = docs.withColumns({own + "print": fingerprint("text", shingle),
+                              own + "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                              own + "row": F.monotonically_increasing_id()})
+    keyed = stage(keyed, "keyed")
+    firsts = stage(keyed.groupBy(F.col(own + "print").alias("print"))
+                   .agg(F.min(F.struct(own + "id", own + "row")).alias("first"), F.count("*").alias("rows")), "firsts")
+    nodes = firsts.select("print", F.col(f"first.{own}id").alias("label"))
+    found = components(links(nodes.select("print"), bits), nodes).select("print", "owner")
+    # Only fingerprints that are repeated or linked decide anything: for each the row that stays, or none.
+    marks = stage(firsts.join(found, "print", "left").filter((F.col("rows") > 1) | F.col("owner").isNotNull())
+                  .select(F.col("print").alias(own + "print"), F.lit(True).alias(own + "marked"),
+                          F.when(F.coalesce("owner", "print") == F.col("print"), F.col(f"first.{own}row"))
+                          .alias(own + "keep")), "marks")
+    joined = keyed.join(small(marks), own + "print", "left")
+    stays = F.col(own + "marked").isNull() | F.coalesce(F.col(own + "keep") == F.col(own + "row"), F.lit(False))
+    return joined.filter(stays).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:

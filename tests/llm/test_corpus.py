@@ -265,8 +265,8 @@ def test_simhash_query(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
-@pytest.mark.parametrize("bits,segments,group", [(2, 1, 10_000), (2, 1, 5), (3, 1, 9), (11, 4, 20)])
-def test_trie_join_against_all_pairs(spark, bits, segments, group):
+@pytest.mark.parametrize("bits,group", [(2, 10_000), (2, 5), (3, 9), (2, 1)])
+def test_trie_join_against_all_pairs(spark, bits, group):
     rng = random.Random(8)
     seeds = [rng.getrandbits(64) for _ in range(40)] + [0, (1 << 64) - 1]
     prints = set(seeds)
@@ -276,7 +276,7 @@ def test_trie_join_against_all_pairs(spark, bits, segments, group):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     frame = spark.createDataFrame([(signed(p), i) for i, p in enumerate(sorted(prints))], "print long, label long")
     want = plain_components(dict(enumerate(sorted(prints))), lambda a, b: (a ^ b).bit_count() <= bits)
-    found = {r.print: r.label for r in simhash.components(simhash.links(frame.select("print"), bits, segments, group), frame).collect()}
+    found = {r.print: r.label for r in simhash.components(simhash.links(frame.select("print"), bits, group), frame).collect()}
     assert {i: found.get(signed(p), i) for i, p in enumerate(sorted(prints))} == want
 
 
@@ -294,15 +294,33 @@ def test_simhash_odd(odd):
     assert [r.component_id for r in simhash.near_duplicates(lone).collect()] == [None]
 
 
-def test_one_of_each(odd, documents):
-    kept = simhash.one_of_each(odd, 5, 11, 4, 0.8)
+def test_hot_trie_nodes_are_cut_deeper(spark):
+    """Clusters under one prefix: no group holds more than a few times ``group``, and no link is lost."""
+    rng, group = random.Random(9), 20
+    prints = sorted({(0xABCDEF << 40) ^ sum(1 << b for b in rng.sample(range(40), rng.randint(0, 3))) for _ in range(600)}
+                    | {(0xABCDEF << 40) ^ rng.getrandbits(20) for _ in range(600)} | {rng.getrandbits(63) for _ in range(50)})
+    frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(prints)], "print long, label long")
+    made = simhash.links(frame.select("print"), 2, group)
+    want = plain_components(dict(enumerate(prints)), lambda a, b: (a ^ b).bit_count() <= 2)
+    found = {r.label: r.label for r in frame.collect()}
+    for r in simhash.components(made, frame).join(frame.withColumnRenamed("label", "own"), "print").collect():
+        found[r.own] = r.label
+    assert found == want
+
+
+def test_one_of_each(spark, odd, documents):
+    kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 7]
-    words = [f"w{i}" for i in range(200)]
-    near = [(i, " ".join(words[:i] + ["changed"] + words[i + 1:])) for i in range(20, 120, 5)]
+    words = [f"w{i}" for i in range(400)]
+    near = [(i, " ".join(words[:i] + ["changed"] + words[i + 1:])) for i in range(20, 320, 5)]
     far = [(500 + i, " ".join(f"v{i}{j}" for j in range(200))) for i in range(10)]
-    kept = simhash.one_of_each(documents([(200, " ".join(words)), *near, *far, (600, None)]), 5, 11, 4, 0.8).collect()
-    assert {r.doc_id for r in kept} == {20, 600} | {d for d, _ in far}
+    rows = [(900, " ".join(words)), *near, *far, (600, None), (450, " ".join(words)), (450, " ".join(words)), (None, far[0][1])]
+    prints = {i: plain_print(t, 3) for i, (_, t) in enumerate(rows)}
+    groups = plain_components(prints, lambda a, b: (a ^ b).bit_count() <= 2)
+    want = sorted(min(rows[i][0] or 1 << 60 for i in groups if groups[i] == g) for g in set(groups.values()))
+    assert len(want) < 40  # many of the near copies are within two bits of another
+    assert sorted(r.doc_id for r in simhash.one_of_each(documents(rows)).collect()) == want
 
 
 # Quality
