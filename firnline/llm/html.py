@@ -3,8 +3,17 @@
 A tree builder takes the tags of a page in order, closes elements whose end is implied (a paragraph before a block, an
 item before the next item, cells and rows of a table) and ignores stray ends. Rendering walks the tree, skips what a reader
 wouldn't see (scripts, styles, heads, ``hidden``, ``display:none``, ``visibility:hidden``) and writes all other text:
-blocks on lines of their own, paragraphs apart by a blank line, items behind a bullet or number, the cells of a
-table in aligned columns. Tree and rendering use explicit stacks, so depth is not limited.
+blocks on lines of their own, paragraphs apart by a blank line, items behind a bullet or number, controls apart by a
+blank, the cells of a table in aligned columns.
+
+A table is a grid: cells take the places their ``colspan`` and ``rowspan`` give them, keep their own lines, lists and
+inner tables, and a column is as wide as its widest line. Cells that span columns widen the last of them, cells that span
+rows run on beside the rows below. A table of one column is written as blocks. So that a page can't ask for more padding than a
+small multiple of its own text (one very long line beside very many rows), columns are then narrowed until it doesn't;
+a line longer than its column is written in full and pushes what follows on that line.
+
+Tree, rendering and tables use explicit stacks, so depth is not limited; indentation stays at ``DEEPEST_INDENT`` columns
+from there on.
 
 Cases: null and empty pages give the empty text; broken markup is read as far as it goes, a tag that never closes is
 dropped; text without tags comes back with its
@@ -13,6 +22,7 @@ white space collapsed; repeated rows give repeated results; extra columns ride a
 
 from __future__ import annotations
 
+import bisect
 import re
 from html.parser import HTMLParser
 
@@ -47,21 +57,30 @@ ENDS_PARAGRAPH_SEARCH = BLOCK - {"p"} | {"button"}
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 UNFINISHED = re.compile(r"</?[A-Za-z]")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-#: Cells wider than this don't widen their column.
-WIDEST = 40
-#: Tables inside tables beyond this depth are written as blocks.
-NESTED = 4
+#: Controls that show their value.
+SHOWN_INPUTS = frozenset("text search email url tel number date time submit button reset".split())
+CONTROLS = frozenset("button select textarea input".split())
+#: The markup standard's limits of spans.
+COLSPAN, ROWSPAN = 1000, 65534
+DEEPEST_INDENT = 400
+#: Padding of a table is at most this many times its text, and this many characters on top.
+PADDING, FREE_PADDING = 8, 100_000
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "grid", "lines")
 
     def __init__(self, tag: str, attributes: dict[str, str | None]):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.grid = self.lines = None  # of a table: its cells, and its text once it is laid out
 
     def unseen(self) -> bool:
         return (self.tag in UNSEEN or "hidden" in self.attributes
-                or self.tag == "input" or bool(HIDING.search(self.attributes.get("style") or "")))
+                or bool(HIDING.search(self.attributes.get("style") or "")))
+
+    def span(self, name: str, most: int) -> int:
+        given = (self.attributes.get(name) or "").strip()
+        return min(int(given[:9]), most) if given.isascii() and given.isdigit() else 1
 
 
 class TreeBuilder(HTMLParser):
@@ -177,7 +196,8 @@ def cells_of(table: Element) -> tuple[list[list[Element]], list[Element]]:
             todo += reversed(x.children)
         elif x.tag == "tr":
             cells = [c for c in x.children if not isinstance(c, str) and c.tag in ("td", "th") and not c.unseen()]
-            rest += [c for c in x.children if c not in cells and (not isinstance(c, str) or c.strip())]
+            rest += [c for c in x.children if (isinstance(c, str) and c.strip()) or
+                     (not isinstance(c, str) and c.tag not in ("td", "th") and not c.unseen())]
             rows.append(cells)
         elif x.tag in ("td", "th"):
             rows.append([x])
@@ -186,42 +206,127 @@ def cells_of(table: Element) -> tuple[list[list[Element]], list[Element]]:
     return rows, rest
 
 
-def write_table(out: Writer, table: Element, nested: int) -> None:
-    rows, rest = cells_of(table)
-    for x in rest:
-        if isinstance(x, str):
-            out.text(x)
+class Cell:
+    """A cell in the grid: where it stands, how far it reaches, and its lines."""
+
+    __slots__ = ("element", "row", "col", "rows", "cols", "lines")
+
+    def __init__(self, element: Element, row: int, col: int, rows: int, cols: int):
+        self.element, self.row, self.col, self.rows, self.cols = element, row, col, rows, cols
+        self.lines: list[str] = []
+
+
+def placed(rows: list[list[Element]]) -> list[Cell]:
+    """The cells in their places: each takes the first column that no cell above reaches into."""
+    cells, reach = [], {}  # column -> first row that is free again
+    for r, row in enumerate(rows):
+        col = 0
+        for element in row:
+            while reach.get(col, 0) > r:
+                col += 1
+            down = element.span("rowspan", ROWSPAN) or len(rows)
+            cell = Cell(element, r, col, min(down, len(rows) - r), max(1, element.span("colspan", COLSPAN)))
+            cells.append(cell)
+            if cell.rows > 1:
+                for c in range(col, col + cell.cols):
+                    reach[c] = r + cell.rows
+            col += cell.cols
+    return cells
+
+
+def column_starts(cells: list[Cell], widest: int) -> dict[int, int]:
+    """Where each column with a cell begins, lines beyond ``widest`` not counting; columns nobody begins in take no room."""
+    used = sorted({c.col for c in cells})
+    widths = dict.fromkeys(used, 0)
+    spanning = []
+    for cell in cells:
+        width = min(widest, max(map(len, cell.lines), default=0))
+        inside = [c for c in used[bisect.bisect_left(used, cell.col):bisect.bisect_left(used, cell.col + cell.cols)]]
+        if len(inside) == 1:
+            widths[cell.col] = max(widths[cell.col], width)
         else:
-            out.apart(1)
-            render(x, out, nested + 1)
-            out.apart(1)
-    grid = []
-    for row in rows:
-        texts = []
-        for cell in row:
+            spanning.append((len(inside), inside, width))
+    for _, inside, width in sorted(spanning, key=lambda s: s[0]):
+        lacking = width - sum(widths[c] + 2 * (widths[c] > 0) for c in inside) + 2
+        if lacking > 0 and width:
+            widths[inside[-1]] += lacking
+    starts, at = {}, 0
+    for c in used:
+        starts[c] = at
+        at += widths[c] + 2 * (widths[c] > 0)
+    return starts
+
+
+def laid_out(cells: list[Cell], rows: int) -> list[str]:
+    """The lines of a table."""
+    heights = [0] * rows
+    for cell in sorted(cells, key=lambda c: c.rows):
+        # A cell over several rows needs its last row to be high enough for what the rows above don't hold.
+        above = sum(heights[cell.row:cell.row + cell.rows - 1])
+        last = cell.row + cell.rows - 1
+        heights[last] = max(heights[last], len(cell.lines) - above)
+    first, at = [], 0
+    for h in heights:
+        first.append(at)
+        at += h
+    lines: list[list[tuple[int, str]]] = [[] for _ in range(at)]
+    for cell in cells:
+        for i, text in enumerate(cell.lines):
+            if text:
+                lines[first[cell.row] + i].append((cell.col, text))
+    room = PADDING * sum(len(t) for line in lines for _, t in line) + FREE_PADDING
+    widest = max((len(t) for line in lines for _, t in line), default=0)
+    while True:
+        starts = column_starts(cells, widest)
+        if widest <= 1 or sum(max(starts[c] for c, _ in line) for line in lines if line) <= room:
+            break
+        widest //= 2
+    out = []
+    for line in lines:
+        text = ""
+        for col, part in sorted(line):
+            text = (text + "  " if text and len(text) + 2 > starts[col] else text.ljust(starts[col])) + part
+        out.append(text)
+    return out
+
+
+def lay_out_tables(root: Element) -> None:
+    """Give every visible table of more than one column its lines, inner tables first."""
+    tables, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x.tag == "table":
+            rows, rest = cells_of(x)
+            cells = placed(rows)
+            if any(c.col for c in cells):
+                x.grid = (cells, len(rows), rest)
+                tables.append(x)
+        todo += [c for c in x.children if not isinstance(c, str) and not c.unseen()]
+    # Outer tables were met before the tables in them.
+    for table in reversed(tables):
+        cells, rows, rest = table.grid
+        for cell in cells:
             inner = Writer()
-            render(cell, inner, nested + 1)
-            span = cell.attributes.get("colspan") or "1"
-            texts.append(SPACE.sub(" ", inner.written()).strip())
-            texts += [""] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() else 0)
-        grid.append(texts)
-    widths: list[int] = []
-    for texts in grid:
-        widths += [0] * (len(texts) - len(widths))
-        for i, t in enumerate(texts):
-            if len(t) <= WIDEST:
-                widths[i] = max(widths[i], len(t))
-    for texts in grid:
-        if any(texts):
+            render(cell.element, inner)
+            text = inner.written()
+            cell.lines = [line.rstrip(" ") for line in text.split("\n")] if text else []
+        out = Writer()
+        for x in rest:  # captions and whatever else is no cell
             out.apart(1)
-            out.start()
-            out.parts.append("  ".join(t.ljust(w) for t, w in zip(texts, widths)).rstrip(" "))
-    out.apart(1)
-
-
-def render(root: Element, out: Writer, nested: int = 0) -> None:
-    """Write the text of an element's content."""
-    # (element or text, or a function that ends an element); ``lists`` has the counters of the open lists.
+            if isinstance(x, str):
+                out.text(x)
+            else:
+                holder = Element("#rest", {})
+                holder.children = [x]
+                render(holder, out)
+        before = out.written()
+        table.lines = (before.split("\n") if before else []) + laid_out(cells, rows)
+        table.grid = None
+
+
+def render(root: Element, out: Writer) -> None:
+    """Write the text of an element's content; tables in it are laid out."""
+    # An element or text, or a tuple that ends an element; ``lists`` has the counters of the open lists.
     todo: list = list(reversed(root.children))
     lists: list[int | None] = []
     plain = int(root.tag == "pre")
@@ -232,6 +337,10 @@ def render(root: Element, out: Writer, nested: int = 0) -> None:
             continue
         if isinstance(x, tuple):
             what, element, kept = x
+            if what == "control":
+                plain -= element.tag == "textarea"
+                out.blank = out.gap == 0
+                continue
             if element.tag in ("ul", "ol"):
                 lists.pop()
             if element.tag == "pre":
@@ -244,21 +353,35 @@ def render(root: Element, out: Writer, nested: int = 0) -> None:
         if x.tag == "br":
             out.gap, out.blank = out.gap + 1 if out.gap < 2 else out.gap, False
             continue
-        if x.tag == "table" and nested < NESTED:
+        if x.lines is not None:
             out.apart(2)
-            write_table(out, x, nested)
+            for line in x.lines:
+                if line:
+                    out.start()
+                    out.parts.append(line)
+                    out.gap = 0
+                out.gap += 1
             out.apart(2)
             continue
         if x.tag == "img" and x.attributes.get("alt"):
             out.text(x.attributes["alt"])
+        if x.tag in CONTROLS:
+            out.blank |= out.gap == 0
+            if x.tag == "input":
+                if (x.attributes.get("type") or "text").lower() in SHOWN_INPUTS and x.attributes.get("value"):
+                    out.text(x.attributes["value"])
+                    out.blank = True
+                continue
+            plain += x.tag == "textarea"
+            todo.append(("control", x, None))
         if x.tag in BLOCK:
             out.apart(2 if x.tag in APART and not (x.tag in ("ul", "ol") and lists) else 1)
             todo.append(("end", x, out.indent))
             if x.tag in ("ul", "ol"):
                 begin = x.attributes.get("start") or "1"
-                lists.append((int(begin) if begin.isascii() and begin.isdigit() else 1) if x.tag == "ol" else None)
+                lists.append((int(begin[:18]) if begin.isascii() and begin.isdigit() else 1) if x.tag == "ol" else None)
             elif x.tag == "li":
-                out.indent = out.indent + "  " if len(out.indent) < 40 else out.indent
+                out.indent = out.indent + "  " if len(out.indent) < DEEPEST_INDENT else out.indent
                 if lists and lists[-1] is not None:
                     out.marker = f"{lists[-1]}. "
                     lists[-1] += 1
@@ -267,7 +390,7 @@ def render(root: Element, out: Writer, nested: int = 0) -> None:
             elif x.tag == "pre":
                 plain += 1
             elif x.tag in ("blockquote", "dd"):
-                out.indent = out.indent + "  " if len(out.indent) < 40 else out.indent
+                out.indent = out.indent + "  " if len(out.indent) < DEEPEST_INDENT else out.indent
         todo += reversed(x.children)
 
 
@@ -277,6 +400,7 @@ def visible_text(page: str) -> str:
     if UNFINISHED.match(builder.rawdata):
         builder.rawdata = ""
     builder.close()
+    lay_out_tables(builder.root)
     out = Writer()
     render(builder.root, out)
     return out.written()

@@ -9,8 +9,16 @@ characters its kind allows. The base kinds give exactly the leftmost non-overlap
 * card ``[0-9]([\\x20-]?[0-9])+``, 16 to 19 digits that pass Luhn
 * phone ``\\+[0-9][\\x20().0-9-]+[0-9]``, 8 to 15 digits
 
-with failing matches dropped. Beyond them: ``url`` (a scheme and the address after it) and ``account`` (the value
-after a cue such as ``password=`` or ``IBAN``). Offsets are code points, ends exclusive.
+with failing matches dropped. Beyond them: ``url`` (a scheme and the address after it) and ``account``, the value after
+a cue, expanded and checked by a parser of the cue's own:
+
+* IBAN: groups of letters and digits with single blanks or hyphens between, 15 to 34 in all, check digits by mod 97
+* account number: 6 to 20 digits in groups, not all zero; SSN: 3-2-4 digits in the shape of a number that can be issued
+* passport: 6 to 9 letters and digits, one digit at least
+* password, token, key, secret: six characters or more after ``:`` or ``=``; without those, a digit must be among them
+* keys that show what they are by their first letters (``AKIA…``, ``ghp_…``) need no cue
+
+Offsets are code points, ends exclusive.
 
 Cases: null is the empty text, without spans; a text may be of any length, each anchor is expanded once; repeated
 rows give repeated results; extra columns ride along.
@@ -34,6 +42,7 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 # Schemes and the names that announce an identifier.
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "tel:")
 CUES = ("password", "passwd", "pwd", "token", "api_key", "apikey", "secret", "iban", "account", "ssn", "passport")
+KEYS = {"akia": 16, "asia": 16, "ghp_": 36, "gho_": 36, "sk_live_": 24}  # first letters, and how many follow
 
 DIGITS = "0123456789"
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -42,7 +51,11 @@ DIGIT = frozenset(DIGITS)
 PHONE = frozenset(" ().0123456789-")
 LETTER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
 ADDRESS = re.compile(r"[^\s<>\"']+")
-VALUE = re.compile(r"[\s:=#]{1,4}(?:(?:number|no\.?|nr\.?)[\s:=#]{1,3})?[\"']?([A-Za-z0-9][A-Za-z0-9+/_-]{5,})")
+LINK = r"(?:[\s:=#]{1,4}|(?=[:=#]))(?:(?:number|no\.?|nr\.?)[\s:=#]{1,3})?[\"']?"
+SECRET = re.compile(r"(?:(?P<sure>\s{0,2}[:=]\s{0,2}[\"']?)(?P<any>[^\s\"'<>]{6,})|[\s#]{1,4}[\"']?(?P<plain>[A-Za-z0-9][A-Za-z0-9+/_-]{5,}))")
+GROUPS = re.compile(LINK + r"((?:[a-z]{2}[0-9]{2})(?:[ -]?[a-z0-9])+)")
+NUMBERS = re.compile(LINK + r"([0-9](?:[ -]?[0-9])+)")
+PASSPORT = re.compile(LINK + r"([a-z0-9]{6,9})(?![a-z0-9])")
 
 
 def anchors() -> ahocorasick.Automaton:
@@ -56,7 +69,7 @@ def anchors() -> ahocorasick.Automaton:
                 made.add_word(f"{d}{gap}{e}", ("card", 2 + len(gap)))
     for s in SCHEMES:
         made.add_word(s, ("url", len(s)))
-    for c in CUES:
+    for c in (*CUES, *KEYS):
         made.add_word(c, ("account", len(c)))
     made.make_automaton()
     return made
@@ -121,6 +134,63 @@ def phone_at(t: str, at: int) -> tuple[int, int] | None:
     return (at, end) if end > at + 3 else None
 
 
+def iban_end(t: str, start: int, end: int) -> int | None:
+    """Where the longest IBAN that begins at ``start`` ends, on an edge of its groups."""
+    best, code = None, ""
+    for i in range(start, min(end, start + 68)):
+        if t[i] in " -":
+            continue
+        code += t[i]
+        edge = i + 1 == end or t[i + 1] not in LETTER
+        if edge and 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            best = i + 1
+    return best
+
+
+def issued(digits: str) -> bool:
+    """Whether a social security number can have been issued."""
+    return (len(digits) == 9 and digits[:3] not in ("000", "666") and digits[0] != "9" and digits[3:5] != "00"
+            and digits[5:] != "0000")
+
+
+def account_at(t: str, cue: str, at: int) -> tuple[int, int] | None:
+    """The checked value after a cue that ends at ``at``."""
+    if cue == "iban":
+        m = GROUPS.match(t, at)
+        end = m and iban_end(t, m.start(1), m.end(1))
+        return (m.start(1), end) if end else None
+    if cue in ("account", "ssn"):
+        m = NUMBERS.match(t, at)
+        if not m or m.end() < len(t) and t[m.end()] in LETTER:
+            return None
+        digits = "".join(c for c in m[1] if c in DIGIT)
+        if cue == "ssn":
+            shape = [len(p) for p in re.split("[ -]", m[1])]
+            return m.span(1) if shape in ([9], [3, 2, 4]) and issued(digits) else None
+        return m.span(1) if 6 <= len(digits) <= 20 and digits.strip("0") else None
+    if cue == "passport":
+        m = PASSPORT.match(t, at)
+        return m.span(1) if m and any(c in DIGIT for c in m[1]) else None
+    m = SECRET.match(t, at)
+    if not m:
+        return None
+    if m["plain"]:
+        return m.span("plain") if any(c in DIGIT for c in m["plain"]) else None
+    end = m.end("any")
+    while end > m.start("any") and t[end - 1] in ".,;)]}":
+        end -= 1
+    return (m.start("any"), end) if end >= m.start("any") + 6 else None
+
+
+def key_at(t: str, at: int, size: int, follow: int) -> tuple[int, int] | None:
+    """A key of ``follow`` letters and digits after its first letters, with nothing of the kind around it."""
+    end = at + size + follow
+    body = t[at + size: end]
+    if at and t[at - 1] in LETTER or end < len(t) and t[end] in LETTER or len(body) < follow:
+        return None
+    return (at, end) if body.isascii() and body.isalnum() and any(c in DIGIT for c in body) else None
+
+
 def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every span, by kind as listed, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -156,10 +226,12 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
                 if end > m.start():
                     found[kind].append((at, end))
                     done[kind] = end
-        elif at >= done[kind] and (at == 0 or text[at - 1] not in LETTER) and (m := VALUE.match(text, last + 1)):
-            if any(c in DIGIT for c in m[1]):
-                found[kind].append(m.span(1))
-                done[kind] = m.end(1)
+        elif at >= done[kind] and (at == 0 or text[at - 1] not in LETTER):
+            word = text[at: last + 1]
+            span = key_at(text, at, size, KEYS[word]) if word in KEYS else account_at(text, word, last + 1)
+            if span:
+                found[kind].append(span)
+                done[kind] = span[1]
     return [(k, a, b) for k in KINDS for a, b in sorted(found[k])]
 
 

@@ -87,7 +87,7 @@ def op3_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("found", lambda s: s["kind"].isin(*personal.BASE))
     return docs.select("doc_id", *map(count, personal.BASE), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
-                       joined("found").alias("spans"))
+                       joined("found").alias("spans"), F.size("found").cast("long").alias("n_spans"))
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
