@@ -11,6 +11,7 @@ from firnline.catalog.twins import HAVERSINE, VIEWS, _readings, compass, stencil
 from firnline.functions import measure
 from firnline.operators import combine, negatives, ranking, terrain, weather
 from firnline.operators.nearest import PLACE, nearest_stations
+from firnline.sources import writers
 
 _PLACE_SQL = '"Longitude", latitude'
 
@@ -92,7 +93,41 @@ def _(t: Tables):
   select "Longitude", latitude, round(slope, 6) as slope, round(aspect_degrees, 6) as aspect_degrees
   from v_terrain""")
 def _(t: Tables):
-    return rounded(t.build.terrain.select(*PLACE, "slope", "aspect_degrees"))
+    found = terrain.terrain_at(t.places, t.landed_cells, GRID)
+    return rounded(found.select(*PLACE, "slope", "aspect_degrees"))
+
+
+VIEWS["v_grid_rows"] = """
+  select *, east - west as across, west + 2 * z + east as smooth from (
+    select "row", col, elevation, z,
+      case when lag(col) over side = col - 1 then lag(z) over side end as west,
+      case when lead(col) over side = col + 1 then lead(z) over side end as east
+    from (select *, case when elevation <> -32768 then elevation end as z from v_grid)
+    window side as (partition by "row" order by col))"""
+VIEWS["v_grid_gradient"] = """
+  select "row", col, elevation, case when smooth is not null and gy is not null then gx / step end as dz_dx,
+    case when smooth is not null and gx is not null then gy / step end as dz_dy
+  from (select *, 8 * (111320 * cos(radians(cast(41 as double) - ("row" + 0.5::double) * cast(0.1 as double))) + 111320) / 2
+        * cast(0.14 as double) as step,
+      case when lag("row") over down = "row" - 1 then lag(across) over down end + 2 * across
+        + case when lead("row") over down = "row" + 1 then lead(across) over down end as gx,
+      case when lead("row") over down = "row" + 1 then lead(smooth) over down end
+        - case when lag("row") over down = "row" - 1 then lag(smooth) over down end as gy
+    from v_grid_rows window down as (partition by col order by "row"))"""
+VIEWS["v_grid_angle"] = """
+  select *, case when elevation <> -32768 and elevation >= -999 then elevation end as height,
+    degrees(atan(sqrt(dz_dx * dz_dx + dz_dy * dz_dy))) as slope,
+    case when dz_dx is null then null when dz_dx = 0 and dz_dy = 0 then 180 else degrees(atan2(dz_dy, -dz_dx)) end as angle
+  from v_grid_gradient"""
+
+
+@query("terrain_grid", f"""
+  select "row", col, height as elevation, round(slope, 6) as slope, round(bearing, 6) as aspect_degrees,
+    {compass('bearing')} as aspect_cardinal
+  from (select *, case when angle > 90 then 450 - angle else 90 - angle end as bearing from v_grid_angle)""")
+def _(t: Tables):
+    """Every cell of the grid, with a margin of one cell from the neighbouring tiles."""
+    return rounded(terrain.dense(t.landed_cells, GRID))
 
 
 @query("terrain_compass_bearing", """
@@ -113,7 +148,8 @@ def _(t: Tables):
 @query("terrain_cardinal", """
   select "Longitude", latitude, aspect_cardinal as name from v_terrain""")
 def _(t: Tables):
-    return t.build.terrain.select(*PLACE, measure.compass_name(F.col("aspect_degrees")).alias("name"))
+    found = terrain.terrain_at(t.places, t.landed_cells, GRID)
+    return found.select(*PLACE, measure.compass_name(F.col("aspect_degrees")).alias("name"))
 
 
 _HALF = "cast(0.25 as double)"
@@ -207,6 +243,15 @@ def _(t: Tables):
     return rounded(weather.look_up(_asked(t), t.landed_daily).drop("new_snow_24h"))
 
 
+@query("join_asof_bucketed", """
+  select station_triplet, strftime(day, '%Y-%m-%d') as day, round(snow_depth, 6) as snow_depth,
+    round(new_snow_24h, 6) as new_snow_24h from v_readings""")
+def _(t: Tables):
+    """The same from a table bucketed by station, which is read without an exchange."""
+    found = weather.look_up(_asked(t), t.bucketed_daily, buckets=writers.STATION_BUCKETS)
+    return rounded(found.select("station_triplet", "day", "snow_depth", "new_snow_24h"))
+
+
 _readings("v_past_readings", "v_keys", future=0)
 
 

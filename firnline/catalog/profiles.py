@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 from firnline import fixed_values as fv
 from firnline.catalog.registry import day_text, query, r6, rounded, time_text, with_place
 from firnline.catalog.tables import Tables
-from firnline.operators import model, profile, quantiles
+from firnline.operators import cleaning, model, profile, quantiles
 from firnline.operators.nearest import PLACE
 from firnline.plans import explore
+from firnline.session import stage
 
 
 @query("agg_count_rows", """
   select cast((select count(*) from v_clean_all) as bigint) as before,
     cast((select count(*) from v_reports) as bigint) as after""")
 def _(t: Tables):
-    from firnline.operators import cleaning
-
-    return cleaning.clean_reports(t.raw_reports, natural_only=False).agg(
-        F.count("*").alias("before"),
-        F.count_if(cleaning.natural_trigger(F.col("Trigger"))).alias("after"),
-    )
+    """What was observed while the reports were written."""
+    t.reports  # noqa: B018
+    return cleaning.observed_row(t.spark, t.report_counts)
 
 
 @query("agg_value_counts", """
@@ -78,6 +76,21 @@ def _(t: Tables):
     )
 
 
+@query("agg_count_distinct_sketch", """
+  select count(*) as reports, true as days_close, true as places_close, true as place_times_close from v_history""")
+def _(t: Tables):
+    """Sketches per month, merged over all months, against the exact counts: within 2 %."""
+    day, place = F.to_date("Date"), F.struct(*PLACE)
+    things = {"days": day, "places": place, "place_times": F.struct(*PLACE, "Date")}
+    text = {n: F.to_json(F.struct(c.alias("v"))) for n, c in things.items()}
+    per_month = stage(profile.distinct_sketches(t.history, text, {"month": F.trunc("Date", "month")}), "sketches")
+    exact = t.history.agg(*[F.count_distinct(c).alias(f"exact_{n}") for n, c in things.items()])
+    both = profile.distinct_estimates(per_month, list(things)).withColumns(
+        {f"exact_{n}": exact.select(f"exact_{n}").scalar() for n in things})
+    return both.select(F.col("rows").alias("reports"), *[
+        (F.abs(F.col(n) - F.col(f"exact_{n}")) <= 0.02 * F.col(f"exact_{n}")).alias(f"{n}_close") for n in things])
+
+
 @query("agg_distinct_tuples", 'select distinct "Longitude", latitude, "Area" from v_history')
 def _(t: Tables):
     return t.history.select(*PLACE, "Area").distinct()
@@ -140,10 +153,9 @@ def _(t: Tables):
   select cast(count_if(elevation is null) as bigint) as no_elevation,
     cast(count_if(slope is null) as bigint) as no_slope, count(*) as places from v_terrain""")
 def _(t: Tables):
-    return t.build.terrain.agg(
-        F.count_if(F.col("elevation").isNull()).alias("no_elevation"),
-        F.count_if(F.col("slope").isNull()).alias("no_slope"), F.count("*").alias("places"),
-    )
+    """What was observed while the terrain of the places was written."""
+    t.build.terrain  # noqa: B018
+    return cleaning.observed_row(t.spark, t.build.terrain_counts)
 
 
 @query("agg_class_balance", """

@@ -126,8 +126,9 @@ class Tables:
 
     @cached_property
     def reports(self) -> DataFrame:
-        """Clean reports, stored: every later step reads them."""
-        return stage(cleaning.clean_reports(self.raw_reports), "reports")
+        """Clean reports, stored: every later step reads them. ``report_counts`` is known once they are."""
+        cleaned, self.report_counts = cleaning.counted_reports(self.raw_reports)
+        return stage(cleaned, "reports")
 
     @cached_property
     def history(self) -> DataFrame:
@@ -177,6 +178,12 @@ class Tables:
         writers.station_daily(self.landed_daily, path)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def bucketed_daily(self) -> DataFrame:
+        """The landed readings as a table bucketed by station."""
+        name = f"daily_{uuid.uuid4().hex}"
+        return writers.station_daily_bucketed(self.landed_daily, name, f"{shared_folder(self.spark)}/{name}")
+
     @cached_property
     def daily(self) -> DataFrame:
         return nans_to_null(self.landed_daily)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
@@ -10,6 +10,18 @@ from firnline.functions import measure, text
 from firnline.functions.time import to_time
 
 
+def observed(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with measures that are taken while it is written or otherwise run, without a job of their own."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in measures.items()]), seen
+
+
+def observed_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The whole numbers that were observed, as one row; their frame has to have run."""
+    found = seen.get
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{n} long" for n in found))
+
+
 def _text_columns(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if kind == "string"]
 
@@ -69,6 +81,16 @@ def clean_reports(raw: DataFrame, natural_only: bool = True) -> DataFrame:
     return cleaned.filter(natural_trigger(F.col("Trigger"))) if natural_only else cleaned
 
 
+def counted_reports(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """Clean natural reports, and how many there were ``before`` and ``after`` the choice of triggers.
+
+    The counts are taken while the reports are written: they cost no job.
+    """
+    natural = natural_trigger(F.col("Trigger"))
+    typed, seen = observed(clean_reports(raw, natural_only=False), before=F.count("*"), after=F.count_if(natural))
+    return typed.filter(natural), seen
+
+
 def stations_from_records(records: DataFrame) -> DataFrame:
     """Usable station records inside the state box, ordered by name."""
     number = text.station_number(F.col("stationTriplet"))

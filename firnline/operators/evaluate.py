@@ -170,6 +170,29 @@ def roc_auc(scores: DataFrame) -> DataFrame:
     )
 
 
+def _reached(ordered: Sequence[float]) -> Column:
+    """How many of the rising thresholds a row's score reaches.
+
+    Of evenly spaced ones the place is worked out and put right by its two neighbours, whatever their number; a
+    few others are each compared.
+    """
+    count = len(ordered)
+    step = (ordered[-1] - ordered[0]) / max(1, count - 1)
+    if count < 16 or any(abs(t - ordered[0] - step * i) > step / 1000 for i, t in enumerate(ordered)):
+        return sum([F.when(_predicted(F.lit(t)), F.lit(1)).otherwise(F.lit(0)) for t in ordered], F.lit(0))
+    score = F.greatest(F.lit(ordered[0] - step), F.least(F.col("score"), F.lit(ordered[-1] + step)))
+    guess = F.least(F.greatest(F.floor((score - ordered[0]) / step) + 1, F.lit(0)), F.lit(count)).cast("int")
+    marks = F.array(*[F.lit(t) for t in ordered])
+
+    def mark(place: Column) -> Column:
+        """The threshold at a place from 1 on, null beyond."""
+        return F.when((place >= 1) & (place <= count), F.element_at(marks, F.greatest(F.least(place, F.lit(count)), F.lit(1))))
+
+    more = F.when(_predicted(mark(guess + 1)), 1).otherwise(0)
+    less = F.when(~_predicted(mark(guess)), 1).otherwise(0)
+    return F.when(F.col("score").isNull(), F.lit(0)).otherwise(guess + more - less)
+
+
 def sweep(scores: DataFrame, thresholds: Sequence[float] = fv.SWEEP_THRESHOLDS) -> DataFrame:
     """Recall, precision, F1, misses, miss rate and rating at each threshold.
 
@@ -177,11 +200,8 @@ def sweep(scores: DataFrame, thresholds: Sequence[float] = fv.SWEEP_THRESHOLDS)
     what each threshold flags.
     """
     ordered = sorted(set(float(t) for t in thresholds))
-    reached = sum(
-        [F.when(_predicted(F.lit(t)), F.lit(1)).otherwise(F.lit(0)) for t in ordered], F.lit(0)
-    )
     steps = (
-        scores.select(reached.alias("step"), "label")
+        scores.select(_reached(ordered).alias("step"), "label")
         .groupBy("step")
         .agg(
             F.count_if(F.col("label") == 1).alias("pos"),

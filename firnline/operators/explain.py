@@ -6,6 +6,10 @@ tests hold or fail and r the share of rows that pass them; features not tested h
 feature's share is v (o - r) times the integral over s in 0..1 of the product, over the other
 features, of (1 - s) r + s o. That is a polynomial of degree six for seven features, so four Gauss
 nodes give it exactly.
+
+A row matters to a leaf only by which of its seven tests hold: 128 patterns. Each leaf's shares are worked out once
+for every pattern; a row is then one pattern and one look-up a leaf. Patterns come from a table by the place of the row's value
+among a block's thresholds. Leaves are broadcast, in parts of a checked size; rows stay in their partitions.
 """
 
 from __future__ import annotations
@@ -25,12 +29,12 @@ from firnline.functions.text import fixed, signed, title_case
 from firnline.operators.ranking import smallest_per_key
 from firnline.session import stage
 
-# Leaves and rows that meet in one group: 8192 × 7 features × 3 numbers × 8 bytes = 1.4 MB, and less.
-LEAVES_PER_BLOCK = 8192
-ROWS_PER_BATCH = 2048
-# Rows × leaves evaluated at once inside a task: about 40 MB per array of 7 features.
-_TILE_ROWS = 64
-_TILE_LEAVES = 1024
+#: Leaves sent to every worker at once, 176 bytes each; more go in further passes over the rows.
+LEAVES_PER_PASS = 250_000
+#: Leaves whose pattern table is held at once: 512 × 128 patterns × 7 shares × 8 bytes = 3.7 MB.
+LEAVES_PER_TABLE = 512
+#: Rows a table is used for before the next one is made.
+ROWS_PER_TABLE = 65_536
 
 
 def forest_nodes(path: str, spark) -> DataFrame:
@@ -44,7 +48,7 @@ def forest_nodes(path: str, spark) -> DataFrame:
         node["leftChild"].alias("left"),
         node["rightChild"].alias("right"),
         node["split"]["featureIndex"].alias("feature"),
-        node["split"]["leftCategoriesOrThreshold"][0].alias("threshold"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
         F.aggregate(stats, F.lit(0.0), lambda a, b: a + b).alias("rows"),
         F.when(stats[0] + stats[1] > 0, stats[1] / (stats[0] + stats[1])).alias("value"),
     )
@@ -102,29 +106,54 @@ def leaves(nodes: DataFrame, depth: int) -> DataFrame:
     return reached.join(ends, ["tree", "id"])
 
 
+def pattern_shares(share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(leaves, patterns, features): each leaf's Shapley shares for every pattern of held tests, bit i for feature i."""
+    count = share.shape[1]
+    holds = (np.arange(1 << count)[:, None] >> np.arange(count) & 1).astype(float)
+    nodes, weights = np.polynomial.legendre.leggauss(count // 2 + 1)
+    nodes, weights = (nodes + 1.0) / 2.0, weights / 2.0
+    inner = np.zeros((len(share), len(holds), count))
+    for s, w in zip(nodes, weights):
+        mixed = (1.0 - s) * share[:, None, :] + s * holds
+        # The product of all other features: those before times those after.
+        before, after = np.ones_like(mixed), np.ones_like(mixed)
+        for i in range(1, count):
+            before[:, :, i] = before[:, :, i - 1] * mixed[:, :, i - 1]
+            after[:, :, -1 - i] = after[:, :, -i] * mixed[:, :, -i]
+        inner += w * before * after
+    return (holds - share[:, None, :]) * inner * value[:, None, None]
+
+
+def pattern_tables(low: np.ndarray, high: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per feature the block's thresholds, and by a value's place among them the pattern bit of every leaf."""
+    made = []
+    for i in range(low.shape[1]):
+        bounds = np.unique(np.concatenate([low[:, i], high[:, i]]))
+        # A value with `place` thresholds below it is above the first `place` of them and at most the next.
+        place = np.arange(len(bounds) + 1)[:, None]
+        above = np.searchsorted(bounds, low[:, i]) < place
+        upto = place <= np.searchsorted(bounds, high[:, i])
+        made.append((bounds, ((above & upto).astype(np.uint8) << i)))
+    return made
+
+
 def shapley(x: np.ndarray, low: np.ndarray, high: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Shapley values of rows ``x`` summed over leaves; a row of ``low``, ``high`` and ``share`` per leaf."""
-    nodes, weights = np.polynomial.legendre.leggauss(4)
-    nodes, weights = (nodes + 1.0) / 2.0, weights / 2.0
-    total = np.zeros_like(x)
-    count = x.shape[1]
-    for at in range(0, len(value), _TILE_LEAVES):
-        part = slice(at, at + _TILE_LEAVES)
-        for first in range(0, len(x), _TILE_ROWS):
-            rows = slice(first, first + _TILE_ROWS)
-            cell = x[rows, None, :]
-            holds = ((cell > low[part]) & (cell <= high[part])).astype(float)
-            inner = np.zeros_like(holds)
-            for s, w in zip(nodes, weights):
-                mixed = (1.0 - s) * share[part] + s * holds
-                # The product of all other features: those before times those after.
-                before = np.ones_like(mixed)
-                after = np.ones_like(mixed)
-                for i in range(1, count):
-                    before[:, :, i] = before[:, :, i - 1] * mixed[:, :, i - 1]
-                    after[:, :, -1 - i] = after[:, :, -i] * mixed[:, :, -i]
-                inner += w * before * after
-            total[rows] += np.einsum("rli,l->ri", (holds - share[part]) * inner, value[part])
+    total, count = np.zeros_like(x), x.shape[1]
+    for first in range(0, len(value), LEAVES_PER_TABLE):
+        part = slice(first, first + LEAVES_PER_TABLE)
+        shares = pattern_shares(share[part], value[part]).reshape(-1, count)
+        tables = pattern_tables(low[part], high[part])
+        places = [np.searchsorted(bounds, x[:, i]) for i, (bounds, _) in enumerate(tables)]
+        at = np.arange(len(value[part])) << count
+        # A few hundred rows at a time, so that what is looked up stays in the cache.
+        for begin in range(0, len(x), 256):
+            rows = slice(begin, begin + 256)
+            pattern = tables[0][1][places[0][rows]]
+            for place, (_, bits) in zip(places[1:], tables[1:]):
+                pattern |= bits[place[rows]]
+            for r, looked in enumerate(at + pattern):
+                total[begin + r] += shares[looked].sum(axis=0)
     return total
 
 
@@ -137,45 +166,49 @@ def base_value(leaf_table: DataFrame, trees: int) -> DataFrame:
 def contributions(scored: DataFrame, leaf_table: DataFrame, trees: int, key: str) -> DataFrame:
     """Long table (key, feature, value, shap_value) for rows with all features; ``key`` is unique.
 
-    Both inputs should be stored. Rows are dealt into batches and leaves into blocks of bounded size; each batch
-    meets each block in a group of its own and the parts are summed per row, so neither the leaves nor the rows
-    have to fit in one place.
+    ``leaf_table`` should be stored. Leaves are broadcast, at most ``LEAVES_PER_PASS`` at once; each pass adds what its
+    leaves give to every row, where the row is. Rows are never shuffled.
     """
     columns = list(fv.FEATURES)
     shares = [f"__s{i}" for i in range(len(columns))]
-    blocks = max(1, math.ceil(leaf_table.count() / LEAVES_PER_BLOCK))
-    batches = max(1, math.ceil(scored.count() / ROWS_PER_BATCH))
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    rows = scored.select(
-        F.col(f"`{key}`").alias("__key"), *columns, F.pmod(F.xxhash64(f"`{key}`"), F.lit(batches)).cast("long").alias("__batch"),
-        every(blocks).alias("__block"),
-    )
-    held = leaf_table.select(
-        "low", "high", "share", (F.col("value") / trees).alias("leaf"),
-        F.pmod(F.xxhash64("tree", "id"), F.lit(blocks)).cast("long").alias("__block"), every(batches).alias("__batch"),
-    )
-
-    def gained(some: pa.Table, part: pa.Table) -> pa.Table:
-        def matrix(name: str) -> np.ndarray:
-            cells = part[name].combine_chunks().flatten()
-            return np.asarray(cells, dtype=float).reshape(-1, len(columns))
-
-        x = np.column_stack([np.asarray(some[c], dtype=float) for c in columns]) if some.num_rows else np.zeros((0, 7))
-        got = np.zeros_like(x)
-        if some.num_rows and part.num_rows:
-            got = shapley(x, matrix("low"), matrix("high"), matrix("share"), np.asarray(part["leaf"], dtype=float))
-        out = some.select(["__key", *columns])
-        for i, name in enumerate(shares):
-            out = out.append_column(name, pa.array(got[:, i]))
-        return out
-
-    kind = dict(rows.dtypes)["__key"]
-    schema = f"__key {kind}, " + ", ".join(f"{c} double" for c in [*columns, *shares])
-    parts = rows.groupBy("__batch", "__block").cogroup(held.groupBy("__batch", "__block")).applyInArrow(gained, schema)
-    current = parts.groupBy("__key", *columns).agg(*[F.sum(s).alias(s) for s in shares])
+    spark = scored.sparkSession
+    passes = max(1, math.ceil(leaf_table.count() / LEAVES_PER_PASS))
+    current = scored.select(F.col(f"`{key}`").alias("__key"), *[F.col(c).cast("double").alias(c) for c in columns],
+                            *[F.lit(0.0).alias(s) for s in shares])
+    schema = f"__key {dict(current.dtypes)['__key']}, " + ", ".join(f"{c} double" for c in [*columns, *shares])
+
+    def adds(sent):
+        def add(batches):
+            leaves = sent.value
+
+            def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                x, old = (np.column_stack([rows[c].to_numpy() for c in names]) for names in (columns, shares))
+                for i, got in enumerate((old + shapley(x, *leaves)).T):
+                    rows = rows.set_column(rows.schema.get_field_index(shares[i]), shares[i], pa.array(got))
+                return rows.to_batches()[0]
+
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                held.append(batch)
+                if sum(map(len, held)) >= ROWS_PER_TABLE:
+                    yield done(held)
+                    held = []
+            if sum(map(len, held)):
+                yield done(held)
+
+        return add
+
+    for number in range(passes):
+        mine = leaf_table.filter(F.pmod(F.xxhash64("tree", "id"), F.lit(passes)) == number)
+        # At most about LEAVES_PER_PASS rows of 22 numbers.
+        rows = mine.select("low", "high", "share", (F.col("value") / trees).alias("leaf")).toArrow()
+        boxes = [np.asarray(rows[c].combine_chunks().flatten(), dtype=float).reshape(-1, len(columns))
+                 for c in ("low", "high", "share")]
+        sent = spark.sparkContext.broadcast((*boxes, np.asarray(rows["leaf"], dtype=float)))
+        current = current.mapInArrow(adds(sent), schema)
+        if number + 1 < passes:
+            current = stage(current, "explained-part")
     cells = F.array(
         *[
             F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(s).alias("shap_value"))
@@ -195,7 +228,8 @@ def explain(model: PipelineModel, model_path: str, scored: DataFrame, key: str):
     saved = f"{model_path}/stages/{len(model.stages) - 1}_*"
     table = stage(leaves(forest_nodes(saved, scored.sparkSession), depth), "leaves")
     base = base_value(table, forest.getNumTrees).scalar()
-    rows = stage(scored.select(f"`{key}`", *[F.col(c).cast("double").alias(c) for c in fv.FEATURES]), "explained")
+    # Few bytes but much work a row: spread over the cores.
+    rows = scored.select(f"`{key}`", *fv.FEATURES).repartition(scored.sparkSession.sparkContext.defaultParallelism)
     return contributions(rows, table, forest.getNumTrees, key).withColumn("base_value", base)
 
 

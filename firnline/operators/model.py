@@ -7,11 +7,9 @@ from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from firnline import fixed_values as fv
 from firnline import schemas
 from firnline.functions import measure
 from firnline.operators import split
+from firnline.operators.grid import FIT_ROWS, nested_search
 from firnline.operators.profile import balanced_weights
 from firnline.session import stage
 
@@ -50,7 +49,8 @@ def fit_rows(train: DataFrame, key: str, rows: int | None) -> DataFrame:
 
 
 def train_classifier(train: DataFrame, **settings) -> PipelineModel:
-    return Pipeline(stages=[_assembler(), forest(**settings)]).fit(train)
+    # The copy leaves the training summary behind, which would travel with every task that scores.
+    return Pipeline(stages=[_assembler(), forest(**settings)]).fit(train).copy()
 
 
 def train_size_regressor(
@@ -74,46 +74,38 @@ def grid_settings(grid: dict = fv.GRID) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def tune(
-    train: DataFrame, key: str, grid: dict = fv.GRID, folds: int = fv.FOLDS, parallelism: int = 2
-) -> tuple[PipelineModel, DataFrame]:
-    """Cross-validated search for the best recall of events, refitted on all rows.
+def search(train: DataFrame, key: str, grid: dict = fv.GRID, folds: int = fv.FOLDS) -> tuple[DataFrame, DataFrame]:
+    """The stored rows with their folds, and one row per setting: mean recall and precision over the folds, and how many
+    held-out rows it was scored on. Trees grow on at most ``FIT_ROWS`` of the rows, all are scored.
 
-    Returns the model and one row per setting with its mean recall. Depth ``None`` becomes Spark's
-    deepest tree. Weights per bootstrap sample have no counterpart, and a split minimum above twice
-    the leaf minimum neither, so those two axes are not searched.
+    Depth ``None`` becomes Spark's deepest tree. Weights per bootstrap sample have no counterpart, and a split minimum
+    above twice the leaf minimum neither, so those two axes are not searched.
     """
     weighted = balanced_weights(split.folds(train, LABEL, key, folds), LABEL).withColumn(
         "even", F.lit(1.0)
     )
-    # Stored: every fit of every fold reads it.
-    assembled = _assembler().transform(stage(weighted, "folds"))
-    settings = grid_settings(grid)
-    base = forest()
-    maps = [
-        {
-            base.numTrees: s["numTrees"],
-            base.maxDepth: s["maxDepth"] or DEEPEST,
-            base.minInstancesPerNode: s["minInstancesPerNode"],
-            base.weightCol: "weight" if s["balanced"] else "even",
-        }
-        for s in settings
-    ]
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
-        parallelism=parallelism, seed=fv.SEED,
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol=LABEL, metricName="recallByLabel", metricLabel=1.0
-        ),
-    ).fit(assembled)
-    results = train.sparkSession.createDataFrame(
-        [
-            (s["numTrees"], s["maxDepth"], s["minInstancesPerNode"], s["balanced"], float(m))
-            for s, m in zip(settings, search.avgMetrics)
-        ],
-        "trees int, depth int, min_leaf int, balanced boolean, recall double",
-    )
-    return PipelineModel(stages=[_assembler(), search.bestModel]), results
+    rows = stage(weighted, "folds")
+    grown_on = fit_rows(rows, key, FIT_ROWS if rows.count() > FIT_ROWS else None)
+    return rows, stage(nested_search(rows, grid, folds, LABEL, grown_on), "grid")
+
+
+def tune(
+    train: DataFrame, key: str, grid: dict = fv.GRID, folds: int = fv.FOLDS
+) -> tuple[PipelineModel, DataFrame]:
+    """``search`` for the best recall of events, then a fit on all rows: the model and the row of every setting.
+
+    Of equal recalls the higher precision wins, then the smaller forest.
+    """
+    rows, results = search(train, key, grid, folds)
+    best = results.orderBy(
+        F.desc_nulls_last("recall"), F.desc_nulls_last("precision"), "trees", F.asc_nulls_last("depth"),
+        F.desc("min_leaf"), "balanced",
+    ).first()
+    chosen = forest(
+        numTrees=best["trees"], maxDepth=best["depth"] or DEEPEST, minInstancesPerNode=best["min_leaf"],
+        weightCol="weight" if best["balanced"] else "even",
+    ).fit(_assembler().transform(rows))
+    return PipelineModel(stages=[_assembler(), chosen.copy()]), results
 
 
 def importance(model: PipelineModel) -> DataFrame:

@@ -1,12 +1,16 @@
 """The k stations nearest to each place, by great-circle distance.
 
-Stations stay distributed, and a pyramid of cubes over the unit sphere narrows the search. A caller whose stations are
-known to be few can ask for ``array`` instead: they travel as one array inside a scalar subquery, every place sorts that
-array in its own row and nothing is shuffled. Both ways give the same answer.
+Places and stations are both trees of cubes over the unit sphere, and pairs of cubes are walked down together: the box of
+a place cube against the box of a station cube bounds the distances of all places in one to all stations in the other, so
+one bound serves a whole cube. Only place cubes that still have many candidates are split further. A caller whose
+stations are known to be few can ask for ``array`` instead: they travel as one array inside a scalar subquery, every
+place sorts that array in its own row and nothing is shuffled. Both ways give the same answer.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -14,11 +18,14 @@ from pyspark.sql import Window as W
 from firnline import fixed_values as fv
 from firnline.functions import measure
 from firnline.operators.ranking import smallest_per_key
+from firnline.session import stage
 
-# Cube edges of the pyramid are 2 ** -level of the unit sphere's radius; the last is about 24 m.
+# Cube edges are 2 ** -level of the unit sphere's radius; the last is about 24 m.
 LEVELS = (3, 6, 9, 12, 15, 18)
-# Slack for rounding when a cube is ruled out, as a squared chord length (under a millimetre).
-_SLACK = 1e-20
+# A place cube with at most this many candidate stations is not split further.
+FEW_STATIONS = 64
+# Slack for rounding when a cube is ruled out: relative, and as a squared chord length (0.2 m).
+_RELATIVE, _SLACK = 1e-9, 1e-15
 
 PLACE = ["Longitude", "latitude"]
 
@@ -84,14 +91,29 @@ def _on_sphere(lon: str, lat: str) -> list[Column]:
     ]
 
 
-def _cube(level: int) -> list[Column]:
-    return [
-        F.floor((F.col(axis) + 1.0) * float(2**level)).alias(f"c{axis}") for axis in "xyz"
-    ]
+def _cube(level: int) -> Column:
+    """Number of the cube a point lies in: 20 bits an axis."""
+    index = [F.floor((F.col(axis) + 1.0) * float(2**level)).cast("long") for axis in "xyz"]
+    return reduce(lambda key, i: F.shiftleft(key, 20).bitwiseOR(i), index)
+
+
+def _tree(points: DataFrame) -> DataFrame:
+    """(level, cube, parent, n, box): every occupied cube of every level with the box of its points. Stored: small."""
+    at = F.array(*[
+        F.struct(F.lit(level).alias("level"), _cube(level).alias("cube"),
+                 (_cube(above) if above else F.lit(0).cast("long")).alias("parent"))
+        for level, above in zip(LEVELS, (None, *LEVELS))
+    ])
+    return stage(
+        points.select("x", "y", "z", F.explode(at).alias("at")).groupBy("at.level", "at.cube", "at.parent").agg(
+            F.count("*").alias("n"),
+            *[f(axis).alias(f"{name}{axis}") for axis in "xyz" for f, name in ((F.min, "lo"), (F.max, "hi"))],
+        ), "cubes",
+    )
 
 
 def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
-    """Branch and bound: from cube to smaller cube, keep those that can hold one of the k."""
+    """Walk pairs of (place cube, station cube) from level to level, then compare what is left."""
     # Only the first k of the stations sharing a spot can be among the k nearest to anything.
     spots = smallest_per_key(
         stations.select(
@@ -100,47 +122,39 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
         ),
         ["s_lon", "s_lat"], ["name", "station_id"], k,
     ).select("*", *_on_sphere("s_lon", "s_lat"))
+    here = places.select(*PLACE, *_on_sphere("Longitude", "latitude"))
 
-    finest = LEVELS[-1]
-    leaves = spots.select("*", *_cube(finest)).drop("x", "y", "z")
-    leaf_counts = leaves.groupBy("cx", "cy", "cz").agg(F.count("*").alias("n"))
+    def side(tree: DataFrame, level: int, tag: str) -> DataFrame:
+        kept = tree.filter(F.col("level") == level).drop("level")
+        return kept.select(*[F.col(c).alias(tag + c) for c in kept.columns])
 
-    axes = ("cx", "cy", "cz")
-    here = places.select(*PLACE, *_on_sphere("Longitude", "latitude"))
-    # All cubes of the first level are children of one root; there are at most 17 ** 3 of them.
-    frontier = here.select("*", *[F.lit(0).cast("long").alias(a) for a in axes])
-    above = None
+    place_cubes, spot_cubes = _tree(here), _tree(spots)
+    settled, open_pairs = [], None
     for level in LEVELS:
-        drop_bits = finest - level
-        counts = (
-            leaf_counts.select(
-                *[F.shiftright(a, drop_bits).alias(a) for a in axes], "n"
-            )
-            .groupBy(*axes)
-            .agg(F.sum("n").alias("n"))
-        )
-        step = level - above if above is not None else None
-        children = counts.select(
-            *[(F.shiftright(a, step) if step else F.lit(0).cast("long")).alias(f"p{a}")
-              for a in axes],
-            *[F.col(a).alias(f"k{a}") for a in axes],
-            "n",
-        )
-        if above is None:
-            # Every place looks at all of them: they travel as one array.
-            packed = children.agg(F.collect_list(F.struct("kcx", "kcy", "kcz", "n"))).scalar()
-            joined = frontier.select("*", F.inline(packed))
+        p, s = side(place_cubes, level, "p_"), side(spot_cubes, level, "s_")
+        if open_pairs is None:
+            # The first level has at most 17 ** 3 cubes: they travel as one array.
+            packed = s.agg(F.collect_list(F.struct(*s.columns))).scalar()
+            pairs = p.select("*", F.inline(packed))
         else:
-            joined = frontier.join(
-                children,
-                (F.col("cx") == F.col("pcx")) & (F.col("cy") == F.col("pcy"))
-                & (F.col("cz") == F.col("pcz")),
-            )
-        frontier = _narrow(joined, level, k)
-        above = level
-
+            # A pair of parents becomes the pairs of their children.
+            pairs = open_pairs.join(p, "p_parent").join(s, "s_parent")
+        judged = stage(_narrow(pairs, k), "cube-pairs")
+        few = (F.col("held") <= FEW_STATIONS) if level != LEVELS[-1] else F.lit(True)
+        settled.append(judged.filter(few).select(F.lit(level).alias("level"), "p_cube", "s_cube"))
+        open_pairs = judged.filter(~few).select(F.col("p_cube").alias("p_parent"), F.col("s_cube").alias("s_parent"))
+        if level != LEVELS[-1] and open_pairs.isEmpty():
+            break
+    left = reduce(DataFrame.unionByName, settled)
+    used = LEVELS[:len(settled)]
+
+    def at_levels(points: DataFrame, name: str) -> DataFrame:
+        cubes = F.array(*[F.struct(F.lit(v).alias("level"), _cube(v).alias(name)) for v in used])
+        return points.select("*", F.inline(cubes)).drop("x", "y", "z")
+
+    # A place is in one settled cube, of whatever level.
     candidates = (
-        frontier.join(leaves, [*axes])
+        left.join(at_levels(here, "p_cube"), ["level", "p_cube"]).join(at_levels(spots, "s_cube"), ["level", "s_cube"])
         .withColumn(
             "distance_km",
             measure.haversine_km(
@@ -159,34 +173,25 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
     return places.join(found, PLACE, "left")
 
 
-def _narrow(joined: DataFrame, level: int, k: int) -> DataFrame:
-    """Of the cubes ``joined`` to each place, those that can hold one of its k nearest."""
-    edge = float(2.0**-level)
+def _narrow(pairs: DataFrame, k: int) -> DataFrame:
+    """(p_cube, s_cube, held): of each place cube's station cubes, those that can hold one of the k nearest to any of its
+    places; ``held`` is how many stations they hold together."""
     near, far = [], []
     for axis in "xyz":
-        low = F.col(f"kc{axis}") * edge - 1.0
-        offset = F.col(axis) - low  # 0..edge when the place lies inside the cube's slab
-        outside = F.greatest(-offset, offset - edge, F.lit(0.0))
-        reach = F.greatest(F.abs(offset), F.abs(offset - edge))
-        near.append(outside * outside)
+        p_lo, p_hi, s_lo, s_hi = (F.col(f"{tag}_{end}{axis}") for tag in "ps" for end in ("lo", "hi"))
+        apart = F.greatest(s_lo - p_hi, p_lo - s_hi, F.lit(0.0))
+        reach = F.greatest(s_hi - p_lo, p_hi - s_lo)
+        near.append(apart * apart)
         far.append(reach * reach)
-    bounded = joined.select(
-        *PLACE, "x", "y", "z",
-        *[F.col(f"kc{a}").alias(f"c{a}") for a in "xyz"],
-        (near[0] + near[1] + near[2]).alias("near"),
-        (far[0] + far[1] + far[2]).alias("far"),
-        "n",
-    )
-    # The reach of the nearest cubes that hold k stations together bounds the k-th distance.
-    by_reach = W.partitionBy(*PLACE).orderBy("far").rowsBetween(W.unboundedPreceding, 0)
-    everything = W.partitionBy(*PLACE)
+    bounded = pairs.select("p_cube", "s_cube", "s_n", sum(near[1:], near[0]).alias("near"), sum(far[1:], far[0]).alias("far"))
+    # The reach of the nearest cubes that hold k stations together bounds the k-th distance of every place.
+    by_reach = W.partitionBy("p_cube").orderBy("far").rowsBetween(W.unboundedPreceding, 0)
+    everything = W.partitionBy("p_cube")
+    bound = F.min(F.when(F.col("upto") >= k, F.col("far"))).over(everything)
     return (
-        bounded.withColumn("held", F.sum("n").over(by_reach))
-        .withColumn(
-            "bound", F.min(F.when(F.col("held") >= k, F.col("far"))).over(everything)
-        )
-        .filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + _SLACK))
-        .select(*PLACE, "x", "y", "z", "cx", "cy", "cz")
+        bounded.withColumn("upto", F.sum("s_n").over(by_reach)).withColumn("bound", bound)
+        .filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") * (1 + _RELATIVE) + _SLACK))
+        .select("p_cube", "s_cube", F.sum("s_n").over(everything).alias("held"))
     )
 
 

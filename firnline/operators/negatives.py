@@ -99,10 +99,16 @@ def with_terrain(candidate_days: DataFrame, terrain: DataFrame) -> DataFrame:
 
 def attempts(
     positives: DataFrame, ratio: float = fv.NEGATIVE_RATIO, seed: int = fv.SEED,
-    per_negative: int = fv.ATTEMPTS_PER_NEGATIVE,
+    per_negative: int = fv.ATTEMPTS_PER_NEGATIVE, upto: Column | None = None,
 ) -> DataFrame:
-    """The draws that get looked at: less known events and repeats. Nothing here touches weather."""
+    """The draws that get looked at: less known events and repeats. Nothing here touches weather.
+
+    ``upto`` leaves draws from there on out; it changes nothing about the draws before it, since the first of equal
+    places and days is the one that stays.
+    """
     drawn = draws(positives, ratio, seed, per_negative)
+    if upto is not None:
+        drawn = drawn.filter(F.col("draw") < upto)
     return one_per_place_day(without_known_events(drawn, positives))
 
 
@@ -124,23 +130,56 @@ def number_negatives(chosen: DataFrame) -> DataFrame:
     ).drop("__position")
 
 
+def digest_at(share: float) -> str:
+    """The digest that a ``share`` of all digests lies below."""
+    return f"{round(min(max(share, 0.0), 1.0) * (1 << 52)):013x}" if share < 1.0 else "g"
+
+
+def usable_draws(
+    positives: DataFrame, terrain: DataFrame, place_day_weather, ratio: float = fv.NEGATIVE_RATIO,
+    seed: int = fv.SEED, spare: float = 1.1,
+) -> tuple[DataFrame, list[dict]]:
+    """Candidates with terrain and weather, at least the quota of them or all there are, and a record of the rounds.
+
+    Draws are taken in the order of their digests. The first round takes a little over the quota; the share of it that
+    survived says how many the next one needs for the shortfall. So weather is looked up for little more than what is
+    needed, not for every attempt, and the first of the quota are the same as if all had been tried.
+    """
+    total = positives.count()
+    quota, tries = math.floor(total * ratio), total * attempts_per_positive(ratio, fv.ATTEMPTS_PER_NEGATIVE)
+    rounds, parts, made, begin = [], [], 0, 0.0
+    while not rounds or (made < quota and begin < 1.0):
+        # Of the draws tried so far a share survived; none known yet counts as all.
+        survive = made / (begin * tries) if made else 1.0 if not rounds else 0.5 / 2 ** len(rounds)
+        end = min(1.0, begin + spare * (quota - made) / max(1.0, survive * tries)) if tries else 1.0
+        tried = with_terrain(
+            attempts(positives, ratio, seed, upto=F.lit(digest_at(end))).filter(F.col("draw") >= digest_at(begin)), terrain
+        ).withColumn("day", F.to_date("Date"))
+        weather = place_day_weather(tried.select(*PLACE, "day").distinct())
+        part = stage(
+            tried.join(weather, [*PLACE, "day"]).filter(F.col("snow_depth").isNotNull()).drop("day"),
+            "negative-candidates",
+        )
+        gained = part.count()
+        rounds.append({"from": begin, "to": end, "draws": round((end - begin) * tries), "usable": gained})
+        parts.append(part)
+        made, begin = made + gained, end
+    usable = parts[0]
+    for part in parts[1:]:
+        usable = usable.unionByName(part)
+    return usable, rounds
+
+
 def negatives(
     positives: DataFrame, terrain: DataFrame, place_day_weather,
     ratio: float = fv.NEGATIVE_RATIO, seed: int = fv.SEED,
 ) -> DataFrame:
     """``ratio`` × positives rows of label 0, or as many as the attempts yield.
 
-    ``place_day_weather(place_days)`` returns weather columns for distinct (Longitude, latitude,
-    day). Candidates with weather are staged: the final cut and the numbering read them again.
+    ``positives`` should be stored. ``place_day_weather(place_days)`` returns weather columns for distinct (Longitude,
+    latitude, day). Candidates are staged: the final cut and the numbering read them again.
     """
-    tried = with_terrain(attempts(positives, ratio, seed), terrain).withColumn(
-        "day", F.to_date("Date")
-    )
-    weather = place_day_weather(tried.select(*PLACE, "day").distinct())
-    usable = stage(
-        tried.join(weather, [*PLACE, "day"]).filter(F.col("snow_depth").isNotNull()).drop("day"),
-        "negative-candidates",
-    )
+    usable, _ = usable_draws(positives, terrain, place_day_weather, ratio, seed)
     chosen = first_by_hash(usable, "draw", target_count(positives, ratio))
     blank = F.lit(None).cast("string")
     labelled = number_negatives(chosen).withColumns(

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from firnline import fixed_values as fv
 from firnline.functions import measure
@@ -120,6 +121,51 @@ def windows(wanted: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
+def dense(cells: DataFrame, grid: Grid) -> DataFrame:
+    """Elevation, slope, aspect and its compass name of every cell, one row per cell of ``cells``.
+
+    Each tile gets a margin of one cell from its neighbours (the halo): a cell on an edge is sent to the tiles beside it
+    as well, an inner cell to its own only. One shuffle by tile then serves both passes of the stencil, first along the rows,
+    then along the columns. Cell sizes are those at the middle of the row. (row, col) is unique.
+    """
+    def tiles(index: str) -> Column:
+        return F.sequence(grid.tile_of(F.col(index) - 1), grid.tile_of(F.col(index) + 1))
+
+    held = measure.nans_to_null(cells).select(
+        F.explode(tiles("row")).alias("tile_row"), "row", "col", "elevation"
+    ).select(
+        "tile_row", F.explode(tiles("col")).alias("tile_col"), "row", "col", "elevation",
+        F.when(F.col("elevation") != grid.nodata, F.col("elevation")).alias("z"),
+    ).repartition("tile_row", "tile_col")
+    along = W.partitionBy("tile_row", "tile_col", "row").orderBy("col")
+    down = W.partitionBy("tile_row", "tile_col", "col").orderBy("row")
+
+    def beside(order, at: str, name: str, step: int) -> Column:
+        """The neighbour's value, null where there is no such cell."""
+        return F.when(F.lag(at, -step).over(order) == F.col(at) + step, F.lag(name, -step).over(order))
+
+    rows = held.withColumns({"west": beside(along, "col", "z", -1), "east": beside(along, "col", "z", 1)}).withColumns(
+        {"across": F.col("east") - F.col("west"), "smooth": F.col("west") + 2.0 * F.col("z") + F.col("east")}
+    )
+    # All three rows have to be whole; ``smooth`` is null where one of its three cells has no reading.
+    whole = F.col("smooth").isNotNull()
+    east = beside(down, "row", "across", -1) + 2.0 * F.col("across") + beside(down, "row", "across", 1)
+    south = beside(down, "row", "smooth", 1) - beside(down, "row", "smooth", -1)
+    own = (F.col("tile_row") == grid.tile_of(F.col("row"))) & (F.col("tile_col") == grid.tile_of(F.col("col")))
+    step = measure.cell_size_m(grid.centre_lat(F.col("row")), grid.dx) * 8.0
+    return (
+        rows.withColumns({"gx": east, "gy": south}).filter(own)
+        .withColumns({"gx": F.when(whole & F.col("gy").isNotNull(), F.col("gx") / step),
+                      "gy": F.when(whole & F.col("gx").isNotNull(), F.col("gy") / step)})
+        .select(
+            "row", "col", elevation_of(F.col("elevation"), grid).alias("elevation"),
+            measure.slope_degrees(F.col("gx"), F.col("gy")).alias("slope"),
+            measure.bearing_of_gradient(F.col("gx"), F.col("gy")).alias("aspect_degrees"),
+        )
+        .withColumn("aspect_cardinal", measure.compass_name(F.col("aspect_degrees")))
+    )
+
+
 def terrain_at(places: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
     """Elevation, slope, aspect and its compass name for distinct places."""
     located = places.withColumns(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from firnline import fixed_values as fv
 from firnline.functions import measure
@@ -13,75 +14,62 @@ STATION_DAY = ["station_triplet", "day"]
 MEASURES = ["snow_depth", "new_snow_24h", "swe", "temp"]
 
 
-def station_days(daily: DataFrame, allow_future: bool = True) -> DataFrame:
+def station_days(daily: DataFrame, allow_future: bool = True, by_station: bool = False) -> DataFrame:
     """What each station says about each day that has a reading near it.
 
     For day d: the reading of d when there is one, even if its values are null, else the last
     reading in [d-3, d+1]; and the depth change between the last two readings in [d-4, d].
     ``allow_future=False`` leaves d+1 out, as a model trained for forecasting should.
 
-    Every reading is sent to the six days it can matter to, so one aggregation on
-    (station, day) with fixed-width buffers answers both look-ups: no range join, and a reading
-    table stored by station combines before the shuffle. Days without any reading near them are
-    absent; a left join on (station, day) gives nulls for them.
+    A merge of readings with the days between them: readings are dealt by (station, month), those of a month's
+    last days and its first day also to the neighbouring month. In order of days each reading knows the one before and the
+    one after it, and answers for its own day and the days up to the next reading that it can matter to, so both
+    look-ups come from one ordered pass and a reading is shuffled once. Days without any reading near them are
+    absent; a left join on (station, day) gives nulls for them. Of repeated readings of a day the largest values count.
+
+    ``by_station`` says that the table is bucketed by station, so that it needs no dealing at all.
     """
-    before, after = fv.CHANGE_DAYS_BEFORE, fv.READING_DAYS_AFTER
-    sent = measure.nans_to_null(daily).select(
-        "station_triplet",
-        F.col("day").alias("read_on"),
-        "depth_in", "swe_in", "temp_f",
-        F.explode(F.sequence(F.lit(-before), F.lit(after))).alias("offset"),
-    ).select(
-        "station_triplet",
-        F.date_sub("read_on", F.col("offset")).alias("day"),
-        "offset", "depth_in", "swe_in", "temp_f",
+    back, ahead = fv.CHANGE_DAYS_BEFORE, fv.READING_DAYS_AFTER
+
+    def month(day: Column) -> Column:
+        return F.trunc(day, "month")
+
+    # The months with a day that this reading can matter to.
+    near = F.array_distinct(F.array(
+        month(F.date_sub("day", ahead)), month(F.col("day")), month(F.date_add("day", back))))
+    sent = measure.nans_to_null(daily).select("station_triplet", "day", "depth_in", "swe_in", "temp_f", F.explode(near).alias("span"))
+    if not by_station:
+        sent = sent.repartition("station_triplet", "span")
+    once = sent.groupBy("station_triplet", "span", "day").agg(*[F.max(c).alias(c) for c in ("depth_in", "swe_in", "temp_f")])
+    in_order = W.partitionBy("station_triplet", "span").orderBy("day")
+    own, other = F.struct("depth_in", "swe_in", "temp_f"), F.struct("day", "depth_in", "swe_in", "temp_f")
+    beside = once.select(
+        "station_triplet", "span", "day", own.alias("own"),
+        F.lag(F.struct("day", "depth_in")).over(in_order).alias("prev"), F.lead(other).over(in_order).alias("next"),
     )
-
-    def at(offset: int, value: Column) -> Column:
-        return F.max(F.when(F.col("offset") == offset, value))
-
-    slots = {}
-    for offset in range(-before, after + 1):
-        tag = str(offset).replace("-", "m")
-        slots[f"seen_{tag}"] = at(offset, F.lit(True))
-        slots[f"depth_{tag}"] = at(offset, F.col("depth_in"))
-        if offset >= -fv.READING_DAYS_BEFORE:
-            slots[f"swe_{tag}"] = at(offset, F.col("swe_in"))
-            slots[f"temp_{tag}"] = at(offset, F.col("temp_f"))
-    wide = sent.groupBy(*STATION_DAY).agg(*[c.alias(n) for n, c in slots.items()])
-
-    def tag(offset: int) -> str:
-        return str(offset).replace("-", "m")
+    last = F.least(F.date_add("day", back), F.coalesce(F.date_sub("next.day", 1), F.date_add("day", back)))
+    # The day before a reading is the reading's own business where nothing earlier reaches it.
+    lone = F.col("prev").isNull() | (F.col("prev.day") < F.date_sub("day", ahead + back))
+    first = F.when(lone & F.lit(allow_future), F.date_sub("day", ahead)).otherwise(F.col("day"))
+    asked = beside.select(
+        "station_triplet", "span", F.col("day").alias("read_on"), "own", "prev", "next",
+        F.explode(F.sequence(first, last)).alias("day"),
+    ).filter(month(F.col("day")) == F.col("span"))
 
     def pick(name: str) -> Column:
-        """The exact day first, then the newest of the window."""
-        newest_first = ([after] if allow_future else []) + [
-            -o for o in range(1, fv.READING_DAYS_BEFORE + 1)
-        ]
-        chain = F.when(F.col(f"seen_{tag(0)}"), F.col(f"{name}_{tag(0)}"))
-        for offset in newest_first:
-            chain = chain.when(F.col(f"seen_{tag(offset)}"), F.col(f"{name}_{tag(offset)}"))
-        return chain
-
-    def nth_depth(nth: int) -> Column:
-        """Depth of the nth newest reading of [d-4, d]; null when there are fewer."""
-        newer = F.lit(0)
-        chain = None
-        for offset in range(0, -before - 1, -1):
-            seen = F.coalesce(F.col(f"seen_{tag(offset)}"), F.lit(False))
-            hit = seen & (newer == nth)
-            depth = F.col(f"depth_{tag(offset)}")
-            chain = F.when(hit, depth) if chain is None else chain.when(hit, depth)
-            newer = newer + seen.cast("int")
-        return chain
-
-    change = measure.inches_to_cm(nth_depth(0)) - measure.inches_to_cm(nth_depth(1))
-    return wide.select(
+        chain = F.when(F.col("day") <= F.col("read_on"), F.col("own")[name])
+        if allow_future:
+            chain = chain.when(F.col("next.day") == F.date_add("day", ahead), F.col("next")[name])
+        return chain.when(F.col("day") <= F.date_add("read_on", fv.READING_DAYS_BEFORE), F.col("own")[name])
+
+    both = (F.col("day") >= F.col("read_on")) & (F.col("prev.day") >= F.date_sub("day", back))
+    change = measure.inches_to_cm(F.col("own.depth_in")) - measure.inches_to_cm(F.col("prev.depth_in"))
+    return asked.select(
         *STATION_DAY,
-        measure.inches_to_cm(pick("depth")).alias("snow_depth"),
-        change.alias("new_snow_24h"),
-        measure.inches_to_cm(pick("swe")).alias("swe"),
-        measure.fahrenheit_to_celsius(pick("temp")).alias("temp"),
+        measure.inches_to_cm(pick("depth_in")).alias("snow_depth"),
+        F.when(both, change).alias("new_snow_24h"),
+        measure.inches_to_cm(pick("swe_in")).alias("swe"),
+        measure.fahrenheit_to_celsius(pick("temp_f")).alias("temp"),
     )
 
 
@@ -102,11 +90,15 @@ def needed_readings(daily: DataFrame, nearest: DataFrame, place_days: DataFrame)
     return kept.join(stations, "station_triplet", "left_semi")
 
 
-def look_up(keys: DataFrame, daily: DataFrame, allow_future: bool = True) -> DataFrame:
-    """Readings for each distinct (station_triplet, day) of ``keys``."""
-    return keys.select(*STATION_DAY).distinct().join(
-        station_days(daily, allow_future), STATION_DAY, "left"
-    )
+def look_up(keys: DataFrame, daily: DataFrame, allow_future: bool = True, buckets: int = 0) -> DataFrame:
+    """Readings for each distinct (station_triplet, day) of ``keys``.
+
+    ``buckets`` is how many a table bucketed by station has: keys are then dealt like it, and readings stay where they are
+    if ``spark.sql.requireAllClusterKeysForCoPartition`` is false.
+    """
+    asked = keys.select(*STATION_DAY)
+    asked = asked.repartition(buckets, "station_triplet") if buckets else asked
+    return asked.distinct().join(station_days(daily, allow_future, buckets > 0), STATION_DAY, "left")
 
 
 def look_up_counts(lookups: DataFrame) -> DataFrame:

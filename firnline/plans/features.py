@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
 from firnline.operators import combine, negatives
+from firnline.operators.cleaning import observed
 from firnline.operators.nearest import PLACE, nearest_stations
 from firnline.operators.terrain import Grid, terrain_at
 from firnline.operators.weather import needed_readings, station_days, with_weather
@@ -37,8 +38,22 @@ class FeatureBuild:
         return self.reports.select(*PLACE).distinct()
 
     @cached_property
+    def _terrain(self) -> tuple[DataFrame, Observation]:
+        """Stored, since positives and negatives both join it; its gaps are counted on the way."""
+        found, seen = observed(
+            terrain_at(self.places, self.cells, self.grid),
+            no_elevation=F.count_if(F.col("elevation").isNull()), no_slope=F.count_if(F.col("slope").isNull()),
+            places=F.count("*"),
+        )
+        return stage(found, "terrain"), seen
+
+    @property
     def terrain(self) -> DataFrame:
-        return terrain_at(self.places, self.cells, self.grid)
+        return self._terrain[0]
+
+    @property
+    def terrain_counts(self) -> Observation:
+        return self._terrain[1]
 
     @cached_property
     def nearest(self) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from firnline.functions.time import month_start
 
 
+STATION_BUCKETS = 16
+
+
 def table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), csv: bool = False) -> None:
     """Parquet, or CSV with a header; replaces what is there."""
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
@@ -26,6 +29,18 @@ def station_daily(daily: DataFrame, path: str) -> None:
     ).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
+def station_daily_bucketed(daily: DataFrame, name: str, path: str, buckets: int = STATION_BUCKETS) -> DataFrame:
+    """Daily readings as the table ``name``, bucketed by station and sorted by day inside a bucket; the table.
+
+    What groups or joins by station reads it without an exchange. Buckets should follow the table: 1 GB each is good.
+    """
+    # One writer a bucket, so one file.
+    daily.repartition(buckets, "station_triplet").write.mode("overwrite").bucketBy(buckets, "station_triplet").sortBy(
+        "station_triplet", "day"
+    ).option("path", path).saveAsTable(name)
+    return daily.sparkSession.table(name)
+
+
 def elevation_grid(cells: DataFrame, path: str) -> None:
     """Cells partitioned by tile."""
     cells.hint("rebalance", "tile_row", "tile_col").write.mode("overwrite").partitionBy(

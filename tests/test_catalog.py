@@ -6,35 +6,44 @@ from compare import database, difference
 from firnline.catalog import QUERIES, TWINS
 
 SMALL = "/root/testdata/sf0.001"
-# Queries with nothing to return on so few rows.
-EMPTY_WHEN_SMALL = {"terrain_compass_bearing", "ml_prepare", "filter_not_null"}
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
 def db():
-    return database(SMALL)
+    return {folder: database(folder) for folder in (SMALL, LARGER)}
 
 
 # The smallest tables hold no example with all features.
+COMPLETE = {"terrain_compass_bearing", "ml_prepare", "filter_not_null", "join_label_by_row"}
 MODELS = [n for n in TWINS if n.startswith(("ml_train", "ml_feature", "ml_score", "ml_grid", "scan_model", "sink_model",
                                             "explain_con", "explain_chain"))]
 
 
-@pytest.mark.parametrize("name", [n for n in MODELS if n != "ml_grid_search"])
-def test_model_twin(spark, name):
-    folder = "/root/testdata/sf0.01"
-    assert difference(QUERIES[name](spark, folder), database(folder), TWINS[name]) is None
+@pytest.mark.parametrize("name", MODELS)
+def test_model_twin(spark, db, name):
+    assert difference(QUERIES[name](spark, LARGER), db[LARGER], TWINS[name]) is None
+
+
+def test_held_out_figures(spark):
+    """What the models do on rows they were not fitted on."""
+    report = {r["class"]: r for r in QUERIES["ml_holdout_metrics"](spark, LARGER).collect()}
+    assert all(0 <= r.auc <= 1 for r in report.values()) and report["accuracy"].f1 is not None
+    size = QUERIES["ml_size_metrics"](spark, LARGER).first()
+    assert size.rows > 20 and size.rmse > 0 and size.mae <= size.rmse and size.r2 <= 1
+    scores = QUERIES["ml_grid_scores"](spark, LARGER).collect()
+    assert len(scores) == 72 and len({r.recall for r in scores}) > 10
 
 
 @pytest.mark.parametrize("name", [n for n in TWINS if n not in MODELS])
 def test_twin(spark, db, name):
-    result = QUERIES[name](spark, SMALL)
+    folder = LARGER if name in COMPLETE else SMALL
+    result = QUERIES[name](spark, folder)
     plan = result._jdf.queryExecution().executedPlan().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                  "ArrowEvalPython", "MapInPandas"):
         assert slow not in plan, slow
-    found = difference(result, db, TWINS[name])
-    assert found is None or (found == "no rows" and name in EMPTY_WHEN_SMALL)
+    assert difference(result, db[folder], TWINS[name]) is None
 
 
 def test_exploration_report(spark):
