@@ -9,8 +9,8 @@ Conversations are dealt by a hash of their id, sorted by turn inside a task and
 is being written is held. The loss mask holds the spans of the assistant's texts (code points of the output).
 
 Cases: null texts and roles are empty; null turns come first; equal turns are ordered by role, then text, so repeated
-rows appear once each; rows with a null id form one conversation; an empty table gives an empty result; other
-columns are not read.
+rows appear once each; rows with a null id form one conversation; a conversation whose output passes 2 GB, the most an
+Arrow string can hold, is an error; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -92,6 +92,8 @@ def formatted(turns: DataFrame, assistant: str = ASSISTANT) -> DataFrame:
         open_id, open_bytes, open_chars, open_loss, started = None, [], 0, [], False
 
         def closed():
+            if sum(map(len, open_bytes)) >= 1 << 31:
+                raise ValueError(f"conversation {open_id} is longer than 2 GB when formatted")
             return pa.RecordBatch.from_arrays([
                 pa.array([open_id], pa.int64()),
                 pa.StringArray.from_buffers(1, pa.py_buffer(np.array([0, sum(map(len, open_bytes))], np.int32).tobytes()),
