@@ -59,9 +59,10 @@ def signed(c: Column, decimals: int) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """``new_snow_24h`` becomes ``New Snow 24H``: a letter after a non-letter is a capital."""
-    words = F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
-    return F.regexp_replace(words, r"24h", "24H")
+    """``new_snow_24h`` becomes ``New Snow 24H``: a letter after a non-letter is a capital, any other is small."""
+    pieces = F.split(F.replace(c, F.lit("_"), F.lit(" ")), r"(?<=\P{L})(?=\p{L})", -1)
+    raised = F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30))))
+    return F.array_join(raised, "")
 
 
 def degrees_text(c: Column) -> Column:

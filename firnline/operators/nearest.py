@@ -21,9 +21,9 @@ from firnline.operators.ranking import smallest_per_key
 from firnline.session import stage
 
 # Cube edges are 2 ** -level of the unit sphere's radius; the last is about 24 m.
-LEVELS = (3, 6, 9, 12, 15, 18)
+LEVELS = (4, 7, 10, 13, 16, 18)
 # A place cube with at most this many candidate stations is not split further.
-FEW_STATIONS = 64
+FEW_STATIONS = 256
 # Slack for rounding when a cube is ruled out: relative, and as a squared chord length (0.2 m).
 _RELATIVE, _SLACK = 1e-9, 1e-15
 
@@ -97,15 +97,15 @@ def _cube(level: int) -> Column:
     return reduce(lambda key, i: F.shiftleft(key, 20).bitwiseOR(i), index)
 
 
-def _tree(points: DataFrame) -> DataFrame:
-    """(level, cube, parent, n, box): every occupied cube of every level with the box of its points. Stored: small."""
+def _trees(points: DataFrame) -> DataFrame:
+    """(side, level, cube, parent, n, box): every occupied cube of every level with the box of its points. Stored: small."""
     at = F.array(*[
         F.struct(F.lit(level).alias("level"), _cube(level).alias("cube"),
                  (_cube(above) if above else F.lit(0).cast("long")).alias("parent"))
         for level, above in zip(LEVELS, (None, *LEVELS))
     ])
     return stage(
-        points.select("x", "y", "z", F.explode(at).alias("at")).groupBy("at.level", "at.cube", "at.parent").agg(
+        points.select("side", "x", "y", "z", F.explode(at).alias("at")).groupBy("side", "at.level", "at.cube", "at.parent").agg(
             F.count("*").alias("n"),
             *[f(axis).alias(f"{name}{axis}") for axis in "xyz" for f, name in ((F.min, "lo"), (F.max, "hi"))],
         ), "cubes",
@@ -124,16 +124,18 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
     ).select("*", *_on_sphere("s_lon", "s_lat"))
     here = places.select(*PLACE, *_on_sphere("Longitude", "latitude"))
 
-    def side(tree: DataFrame, level: int, tag: str) -> DataFrame:
-        kept = tree.filter(F.col("level") == level).drop("level")
-        return kept.select(*[F.col(c).alias(tag + c) for c in kept.columns])
+    cubes = _trees(here.select(F.lit("p_").alias("side"), "x", "y", "z").union(
+        spots.select(F.lit("s_").alias("side"), "x", "y", "z")))
+
+    def at_level(level: int, side: str) -> DataFrame:
+        kept = cubes.filter((F.col("side") == side) & (F.col("level") == level)).drop("side", "level")
+        return kept.select(*[F.col(c).alias(side + c) for c in kept.columns])
 
-    place_cubes, spot_cubes = _tree(here), _tree(spots)
     settled, open_pairs = [], None
     for level in LEVELS:
-        p, s = side(place_cubes, level, "p_"), side(spot_cubes, level, "s_")
+        p, s = at_level(level, "p_"), at_level(level, "s_")
         if open_pairs is None:
-            # The first level has at most 17 ** 3 cubes: they travel as one array.
+            # The first level has a few thousand cubes at most (33 along an axis, on a sphere): they travel as one array.
             packed = s.agg(F.collect_list(F.struct(*s.columns))).scalar()
             pairs = p.select("*", F.inline(packed))
         else:
@@ -149,8 +151,8 @@ def _by_cubes(places: DataFrame, stations: DataFrame, k: int) -> DataFrame:
     used = LEVELS[:len(settled)]
 
     def at_levels(points: DataFrame, name: str) -> DataFrame:
-        cubes = F.array(*[F.struct(F.lit(v).alias("level"), _cube(v).alias(name)) for v in used])
-        return points.select("*", F.inline(cubes)).drop("x", "y", "z")
+        named = F.array(*[F.struct(F.lit(v).alias("level"), _cube(v).alias(name)) for v in used])
+        return points.select("*", F.inline(named)).drop("x", "y", "z")
 
     # A place is in one settled cube, of whatever level.
     candidates = (

@@ -109,3 +109,12 @@ def test_risk_levels(spark):
                  measure.risk_level(F.col("p"), F.lit(0.5), levels=2))
     assert got == [("HIGH DANGER", "HIGH DANGER"), ("MODERATE", "LOW/SAFE"),
                    ("LOW/SAFE", "LOW/SAFE")]
+
+
+def test_title_case_follows_any_non_letter(spark):
+    from firnline.functions.text import title_case
+
+    names = ["new_snow_24h", "swe_2m", "temp", "ÉTÉ_2x3y", "a", "", "x1_y", "3rd's", "__", None]
+    frame = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r[0] for r in frame.select(title_case(F.col("n"))).collect()]
+    assert got == [None if n is None else n.replace("_", " ").title() for n in names]
