@@ -66,4 +66,13 @@ def stage(df: DataFrame, name: str, rebalance: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(stored: DataFrame) -> None:
+    """Delete a table that ``stage`` wrote, once nothing will read it any more."""
+    jvm, conf = stored.sparkSession._jvm, stored.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(stored.stored_at)
+    path.getFileSystem(conf).delete(path, True)
