@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline.llm.common import per_batch, text_of
-from firnline.session import stage
+from firnline.session import release, stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE, BITS = 3, 2
@@ -234,7 +234,7 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     both = stage(edges.union(edges.select("b", "a")).distinct(), "edges")
     linked = both.select(F.col("a").alias("node")).distinct()
-    state = stage(linked.join(nodes.select(F.col("print").alias("node"), F.struct("label", "print").alias("best")), "node"),
+    state = held = stage(linked.join(nodes.select(F.col("print").alias("node"), F.struct("label", "print").alias("best")), "node"),
                   "labels")
     while True:
         # The best entry a node knows names the node it came from: its neighbours', then that node's own.
@@ -247,7 +247,8 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
                   .select("node", F.least("step", F.coalesce("far", "step")).alias("best"),
                           (F.least("step", F.coalesce("far", "step")) != F.col("best")).alias("changed")))
         written = stage(jumped, "labels")
-        state = written.drop("changed")
+        release(held)  # the round before is done with
+        held, state = written, written.drop("changed")
         if written.filter("changed").isEmpty():
             return state.select(F.col("node").alias("print"), F.col("best.label").alias("label"),
                                 F.col("best.print").alias("owner"))
