@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 ROWS = 256
 #: Bytes of a batch that travels between Spark and Python, however long the texts are.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -23,6 +24,14 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system, so that it doesn't keep the peak of every task it ever ran."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, across the tasks it serves."""
     return sys.modules.setdefault("_firnline_worker_cache", types.ModuleType("cache")).__dict__
@@ -41,6 +50,8 @@ def per_batch(make: Callable[[], Callable[..., pa.Array]], kind: str):
         for x in batches:
             parts = [act(x.slice(i, ROWS)) for i in range(0, max(1, len(x)), ROWS)]
             yield pa.concat_arrays(parts)
+        del act
+        give_back()
 
     return F.arrow_udf(one, kind).asNondeterministic()
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firnline.llm.common import bounded_batches, text_of, worker_cache
+from firnline.llm.common import bounded_batches, give_back, text_of, worker_cache
 from firnline.session import stage
 
 CAPACITY = 2048
@@ -104,6 +104,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                     rows, held = [], 0
         if rows:
             yield batch(rows)
+        del rows, encode
+        give_back()
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     return stage(chosen.mapInArrow(cut, PIECES), "pieces")
