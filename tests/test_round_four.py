@@ -1,10 +1,11 @@
 """What must not grow faster than the tables: candidates of places, draws that cannot be used, trees sent to rows."""
 
+import datetime
 import random
 
 from pyspark.sql import functions as F
 
-from firnline.operators import nearest
+from firnline.operators import nearest, negatives
 
 
 def test_the_array_method_compares_each_place_with_few_stations(spark, monkeypatch):
@@ -26,3 +27,57 @@ def test_the_array_method_without_stations(spark):
     stations = spark.createDataFrame([], "station_id string, station_triplet string, name string, longitude double, latitude double")
     places = spark.createDataFrame([(-105.0, 40.0)], "Longitude double, latitude double")
     assert nearest.nearest_stations(places, stations, method="array").first().stations == []
+
+
+EVENT = "`Observation ID` string, Longitude double, latitude double, Area string, Date timestamp_ntz"
+
+
+def _events(spark, n=60):
+    rng = random.Random(9)
+    first = datetime.datetime(2024, 1, 1, 8)
+    return spark.createDataFrame([(f"e{i}", -105.0 - i % 6 / 100, 40.0, "a" if i % 4 else None, first + datetime.timedelta(days=rng.randint(0, 300)))
+                                  for i in range(n)], EVENT)
+
+
+def test_weather_is_only_looked_up_where_there_can_be_any(spark):
+    """Two of six places answer: the draws kept are those of a search that asks everywhere."""
+    events, asked = _events(spark).cache(), []
+    ground = events.select(*nearest.PLACE).distinct().withColumn("elevation", F.lit(1.0))
+
+    def sky(place_days):
+        asked.append(place_days.filter("longitude < -105.015").count())
+        return place_days.withColumn("snow_depth", F.when(F.col("Longitude") > -105.015, F.dayofyear("day").cast("double")))
+
+    every, _ = negatives.usable_draws(events, ground, sky)
+    assert sum(asked) > 0
+    asked.clear()
+    answering = ground.select(*nearest.PLACE).filter("longitude > -105.015")
+    some, rounds = negatives.usable_draws(events, ground, sky, answering=answering)
+    assert sum(asked) == 0
+    wanted = 120
+    first = [sorted(map(tuple, df.select("draw", *nearest.PLACE, "Area", "Date", "elevation", "snow_depth").collect()))[:wanted] for df in (every, some)]
+    assert first[0] == first[1] and len(first[0]) > 20
+
+
+def test_places_that_answer(spark):
+    from firnline.plans.features import FeatureBuild
+    build = FeatureBuild(None, None, None, None, None, [])
+    places = [(-105.0, 40.0, ["a", "b"]), (-105.1, 40.0, ["b", "c"]), (-105.2, 40.0, ["c"]), (-105.3, 40.0, None)]
+    build.__dict__["nearest"] = spark.createDataFrame(
+        [(x, y, s and [(t,) for t in s]) for x, y, s in places], "Longitude double, latitude double, stations array<struct<station_triplet string>>")
+    build.__dict__["readings"] = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None), ("c", 2.0)], "station_triplet string, snow_depth double")
+    assert sorted(r[0] for r in build.answering.collect()) == [-105.2, -105.1, -105.0]
+
+
+def test_draws_move_once_for_known_events_and_repeats(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = _events(spark)
+        drawn = negatives._draws(events, 2.0, 42, 10)
+        base = drawn._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        plan = negatives.attempts(events)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The draws once, the known events once or twice.
+    assert 2 <= plan.count("Exchange hashpartitioning") - base <= 3, plan
+    assert dict(drawn.dtypes)["draw"] == "binary"
