@@ -3,9 +3,12 @@
 import datetime
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from firnline.operators import nearest, negatives
+from firnline import fixed_values as fv
+from firnline.operators import grid, nearest, negatives
 
 
 def test_the_array_method_compares_each_place_with_few_stations(spark, monkeypatch):
@@ -81,3 +84,27 @@ def test_draws_move_once_for_known_events_and_repeats(spark):
     # The draws once, the known events once or twice.
     assert 2 <= plan.count("Exchange hashpartitioning") - base <= 3, plan
     assert dict(drawn.dtypes)["draw"] == "binary"
+
+
+def test_grown_trees_are_packed_where_they_grow(spark):
+    """As the rows of all nodes, shuffled and collected, would be."""
+    gen = np.random.default_rng(3)
+    x = gen.normal(size=(400, len(fv.FEATURES)))
+    cuts = grid.cut_points(x)
+    bins = np.column_stack([np.searchsorted(t, c) for t, c in zip(cuts, x.T)]).astype(np.uint8)
+    event = (x[:, 0] + gen.normal(size=400) > 0).astype(float)
+    nodes = grid.grown(bins, event, np.ones(400), 4, 6, 5, 3, gen)
+    batch = grid.packed(nodes, 2, 10, 4, cuts).to_pylist()
+    rows = [(2, int(t) + 10, int(i), int(a), int(b), int(f), float(cuts[f][k]) if f >= 0 else None, float(v))
+            for t, i, a, b, f, k, v in zip(*(nodes[c] for c in ("tree", "id", "left", "right", "feature", "bin", "value")))]
+    plain = grid.packed_trees(spark.createDataFrame(
+        rows, "fit int, tree int, id int, left int, right int, feature int, threshold double, value double")).collect()
+    assert batch == sorted((r.asDict() for r in plain), key=lambda r: r["tree"])
+    forest = pa.Table.from_pylist(batch[::-1])
+    for tree, wanted in zip(grid._in_order(forest), batch):
+        assert np.array_equal(grid.walk(x, tree, [1, 3, 9]), grid.walk(x, wanted, [1, 3, 9]))
+
+
+def test_trees_are_sent_to_few_groups():
+    """All trees of a fit go to every batch of its rows: 60 times sf0.1 hold about 255,000 rows a fold."""
+    assert 255_000 / grid.ROWS_PER_BATCH <= 2
