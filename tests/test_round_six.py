@@ -4,7 +4,10 @@ import datetime
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from firnline.operators import negatives
+from firnline.operators.nearest import PLACE
 
 EVENT = "`Observation ID` string, Longitude double, latitude double, Area string, Date timestamp_ntz"
 FIRST = datetime.datetime(2024, 1, 1, 8, 15)
@@ -76,3 +79,14 @@ def test_draws_move_as_digests(spark):
     assert re.fullmatch(r"coalesce\(unhex\(md5\(.*\) AS draw", first) and first.count(" AS ") == 1
     # A digest is worked out once.
     assert plan.count("md5(") == 1
+
+
+def test_terrain_meets_draws_where_they_are(spark):
+    _, events = _events(spark)
+    ground = events.select(*PLACE).distinct().withColumn("elevation", F.lit(1.0))
+    plain = _plan(spark, lambda: negatives.attempts(events)).count("Exchange hashpartitioning")
+    own = _plan(spark, lambda: ground.dropDuplicates(PLACE)).count("Exchange hashpartitioning")
+    found = _plan(spark, lambda: negatives.with_terrain(negatives.attempts(events), ground))
+    # The terrain is dealt out as it is made distinct, and for the join; the draws are not dealt again.
+    assert found.count("Exchange hashpartitioning") - plain <= own + 1, found
+    assert len(_moved(found)) == 2, found
