@@ -29,6 +29,7 @@ def _tables(spark):
 
 @pytest.mark.parametrize("name", [
     "ml_train_classifier", "explain_chain", "ml_feature_importance", "ml_holdout_metrics", "ml_score", "ml_score_scenarios",
+    "sink_model",
 ])
 def test_the_classifier_is_fitted_on_all_training_rows(spark, monkeypatch, name):
     tables, fitted, fit = _tables(spark), [], model.train_classifier
