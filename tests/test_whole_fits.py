@@ -1,13 +1,15 @@
 """Models are fitted on all training rows, however many there are."""
 
+import hashlib
 import types
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from firnline import fixed_values as fv
 from firnline.catalog import QUERIES, models, registry
-from firnline.operators import model
+from firnline.operators import grid, model
 
 ROWS = 3_000  # a fifth is held out, more than 2,000 are left
 
@@ -45,3 +47,22 @@ def test_the_classifier_is_fitted_on_all_training_rows(spark, monkeypatch, name)
     assert fitted == [ROWS - ROWS // 5]
     assert len(got) == {"explain_chain": ROWS // 5, "ml_score": ROWS // 5, "ml_feature_importance": len(fv.FEATURES),
                         "ml_score_scenarios": len(fv.SCENARIOS), "sink_model": 1}.get(name, 5)
+
+
+SMALL_GRID = {"numTrees": [1], "maxDepth": [3], "minInstancesPerNode": [10], "balanced": [False]}
+
+
+@pytest.mark.parametrize("name", ["ml_grid_search"])
+def test_trees_grow_on_all_training_rows(spark, monkeypatch, name):
+    """The events are the last rows in hash order, which a sample of 200,000 rows in that order would not hold."""
+    rows, events = 252_000, 1_000
+    last = sorted(hashlib.md5(f"{i}|42".encode()).hexdigest() for i in range(rows))[-events]
+    label = (F.md5(F.concat(F.col("id").cast("string"), F.lit("|42"))) >= last).cast("int")
+    training = spark.range(rows).select(F.col("id").cast("string").alias("Observation ID"), label.alias(model.LABEL),
+                                        *[label.cast("double").alias(c) for c in fv.FEATURES])
+    tables, search = _Tables(spark=spark, training=training), model.search
+    monkeypatch.setattr(registry, "open_tables", lambda *_: tables)
+    monkeypatch.setattr(models.model, "search", lambda train, key: search(train, key, SMALL_GRID, 2))
+    got = QUERIES[name](spark, "anywhere").collect()
+    assert [r.rows for r in got] == [rows - rows // 5] and rows - rows // 5 > 200_000
+    assert [r.recall for r in models._searched(tables).collect()] == [1.0]
