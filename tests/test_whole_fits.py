@@ -52,7 +52,7 @@ def test_the_classifier_is_fitted_on_all_training_rows(spark, monkeypatch, name)
 SMALL_GRID = {"numTrees": [1], "maxDepth": [3], "minInstancesPerNode": [10], "balanced": [False]}
 
 
-@pytest.mark.parametrize("name", ["ml_grid_search"])
+@pytest.mark.parametrize("name", ["ml_grid_scores", "ml_grid_search"])
 def test_trees_grow_on_all_training_rows(spark, monkeypatch, name):
     """The events are the last rows in hash order, which a sample of 200,000 rows in that order would not hold."""
     rows, events = 252_000, 1_000
