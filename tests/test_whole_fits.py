@@ -66,3 +66,35 @@ def test_trees_grow_on_all_training_rows(spark, monkeypatch, name):
     got = QUERIES[name](spark, "anywhere").collect()
     assert [r.rows for r in got] == [rows - rows // 5] and rows - rows // 5 > 200_000
     assert [r.recall for r in models._searched(tables).collect()] == [1.0]
+
+
+def _folded(spark, rows=240):
+    gen = np.random.default_rng(6)
+    x = gen.normal(size=(rows, len(fv.FEATURES)))
+    label = (x[:, 0] + x[:, 3] + gen.normal(0, 0.5, rows) > 0.5).astype(int)
+    weight = rows / (2 * np.bincount(label)[label])
+    columns = ", ".join(f"{c} double" for c in fv.FEATURES)
+    return x, label, spark.createDataFrame(
+        [(i % 3, int(y), float(w), *map(float, v)) for i, (y, w, v) in enumerate(zip(label, weight, x))],
+        f"fold int, {model.LABEL} int, weight double, {columns}").coalesce(1)
+
+
+def test_rows_walk_trees_where_they_grow(spark, monkeypatch):
+    """What is stored are sums of held-out rows; neither trees nor copies of the rows move."""
+    stored, stage = [], grid.stage
+    monkeypatch.setattr(grid, "stage", lambda df, name: (stored.append(df.columns), stage(df, name))[1])
+    settings = {"numTrees": [2, 4], "maxDepth": [2, None], "minInstancesPerNode": [5], "balanced": [True, False]}
+    assert grid.nested_search(_folded(spark)[2], settings, 3, model.LABEL).count() == 8
+    assert stored == [["fit", "begin", "upto", "part", "sums"]]
+
+
+def test_tasks_and_parts_do_not_change_the_search(spark, monkeypatch):
+    settings = {"numTrees": [3, 7, 10], "maxDepth": [2, 5, None], "minInstancesPerNode": [3, 20], "balanced": [True, False]}
+    folded = _folded(spark)[2]
+    monkeypatch.setattr(grid, "ENTRIES", 2 * 240)  # two trees grow together
+    found = []
+    for trees, part in ((100, 1000), (2, 1000), (4, 17)):
+        monkeypatch.setattr(grid, "TREES_PER_TASK", trees)
+        monkeypatch.setattr(grid, "ROWS_PER_BATCH", part)
+        found.append(sorted(map(str, grid.nested_search(folded, settings, 3, model.LABEL).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 36
