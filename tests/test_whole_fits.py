@@ -98,3 +98,20 @@ def test_tasks_and_parts_do_not_change_the_search(spark, monkeypatch):
         monkeypatch.setattr(grid, "ROWS_PER_BATCH", part)
         found.append(sorted(map(str, grid.nested_search(folded, settings, 3, model.LABEL).collect())))
     assert found[0] == found[1] == found[2] and len(found[0]) == 36
+
+
+@pytest.mark.parametrize("min_leaf", [1, 5])
+def test_words_walk_as_their_rows_do(spark, min_leaf):
+    x, label, _ = _folded(spark)
+    cuts = grid.cut_points(x)
+    bins = np.column_stack([np.searchsorted(t, c) for t, c in zip(cuts, x.T)]).astype(np.uint8)
+    nodes = grid.grown(bins, label.astype(float), np.where(label == 1, 1.5, 0.7), 3, 30, min_leaf, 3, np.random.default_rng(1))
+    batch = grid.packed(nodes, 0, 0, 3, cuts).to_pylist()
+    depths = [0, 1, 3, 4, 9, 30]
+    for k, tree in enumerate(batch):
+        mine = np.flatnonzero(nodes["tree"] == k)
+        held = {c: nodes[c][mine] for c in ("left", "feature", "bin", "value")}
+        assert np.array_equal(nodes["id"][mine], np.arange(len(mine)))
+        assert np.array_equal(grid.walk_words(grid.words(bins, label), held, depths), grid.walk(x, tree, depths))
+    with pytest.raises(ValueError):
+        grid.words(np.zeros((1, 12), dtype=np.uint8), np.zeros(1, dtype=int))
